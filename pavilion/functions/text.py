@@ -13,7 +13,7 @@ def is_blank(c: Column) -> Column:
 
 def fill_blank(c: Column, placeholder: str = "BLANK") -> Column:
     """Replace blank values by a placeholder, leave the others untouched."""
-    return F.when(is_blank(c), F.lit(placeholder)).otherwise(c)
+    return F.when(F.trim(c) != "", c).otherwise(F.lit(placeholder))
 
 
 def standardise(c: Column, keep: Iterable[str] = ()) -> Column:

@@ -20,12 +20,12 @@ def lookup_left(
 ) -> DataFrame:
     """Add ``columns`` of the other table by key; null where the key is not there.
 
-    Names already present in ``df`` win, as the other side brings only ``columns``.
-    A key that occurs twice in ``other`` doubles the row: keep the table unique.
+    A column that ``df`` already has is replaced. A key that occurs twice in ``other``
+    doubles the row: keep the table unique.
     """
     marker = "__lookup_key"
     wanted = other.select(F.col(right_key).alias(marker), *columns)
-    return df.join(wanted, F.col(left_key) == F.col(marker), "left").drop(marker)
+    return df.drop(*[c for c in columns if c != left_key]).join(wanted, F.col(left_key) == F.col(marker), "left").drop(marker)
 
 
 def lookup_codes(df: DataFrame, column: str, names: DataFrame, code: str, name: str) -> DataFrame:

@@ -81,9 +81,10 @@ def normalise_columns(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """The whole cleaner, lazily: everything up to the duplicate removal is one narrow pass."""
-    kept = drop_empty_rows(df) if spec.null_drop_first else df
-    kept = require_keys(drop_empty_rows(_filled(kept, spec)), spec.keys)
-    finished = _finished(kept, spec)
+    # Once a column is filled no row is empty, so the search for empty rows is left out.
+    search = spec.null_drop_first or not _fills(df, spec)
+    kept = drop_empty_rows(df) if search else df
+    finished = _finished(require_keys(_filled(kept, spec), spec.keys), spec)
     if not spec.dedup_keys:
         return finished
     return keep_one(finished, spec.dedup_keys, spec.dedup_order)
@@ -96,13 +97,8 @@ def clean_audit(df: DataFrame, spec: CleanSpec, cleaned: DataFrame | None = None
     table is given (Parquet answers that from its footers); otherwise the distinct
     keys are counted, which shuffles them.
     """
-    filled = _filled(df, spec)
-    some_raw = _any_present(df.columns) if spec.null_drop_first else F.lit(True)
-    # Judged on the filled table, but next to what the raw row held.
-    rows = filled.withColumn("__seen", _any_present(filled.columns))
-    if spec.null_drop_first:
-        flagged = _filled(df.withColumn("__raw", some_raw), spec)
-        rows = flagged.withColumn("__seen", F.col("__raw") & _any_present(filled.columns)).drop("__raw")
+    search = spec.null_drop_first or not _fills(df, spec)
+    rows = _filled(df.withColumn("__seen", _any_present(df.columns) if search else F.lit(True)), spec)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in spec.keys], F.lit(True))
     marked = _finished(rows.withColumn("__keyed", F.col("__seen") & keyed), spec)
 
@@ -157,6 +153,10 @@ def _any_present(columns: list[str]) -> Column:
     return reduce(or_, [F.col(c).isNotNull() for c in columns])
 
 
+def _fills(df: DataFrame, spec: CleanSpec) -> bool:
+    return bool(spec.strings) or not set(df.columns).isdisjoint(spec.integers + spec.booleans)
+
+
 def _filled(df: DataFrame, spec: CleanSpec) -> DataFrame:
     numbered = fill_integers(map_code_columns(df, spec), spec.integers)
     return fill_strings(flag_booleans(numbered, spec.booleans), spec.strings, spec.placeholder)

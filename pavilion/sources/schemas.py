@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 BALL_BY_BALL = "Ball_By_Ball"
 MATCH = "Match"
@@ -44,7 +44,15 @@ _COLUMNS = {
     TEAM: "team_sk int, team_id int, team_name string",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _COLUMNS.items()}
+_TYPES = {"int": IntegerType(), "string": StringType()}
+
+
+def _declared(columns: str) -> StructType:
+    pairs = [column.split() for column in columns.split(",")]
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+SCHEMAS: dict[str, StructType] = {name: _declared(columns) for name, columns in _COLUMNS.items()}
 
 
 def cleaned_schema(schema: StructType, dates: Iterable[str] = ()) -> StructType:
