@@ -14,7 +14,8 @@ def main(args: list[str]) -> int:
         print(__doc__, "Names:", ", ".join(ANALYTICS))
         return 2
     command, source, target = args
-    spark = SparkSession.builder.appName("pavilion").getOrCreate()
+    # The JVM does not compile methods over 8000 bytes; above that, generated code is best split.
+    spark = SparkSession.builder.appName("pavilion").config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate()
     if command == "ingest":
         for name, problem in ingest(spark, source, target).items():
             print(f"{name}: {problem}")

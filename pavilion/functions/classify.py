@@ -9,15 +9,15 @@ from pyspark.sql import Column, functions as F
 def map_codes(c: Column, names: Mapping[str, str]) -> Column:
     """Replace known codes by names; unknown codes and null pass through as text.
 
-    One CASE branch per code, for lists of a few dozen. For a longer list join a
+    One constant map, for lists of a few dozen codes: a CASE branch per code makes the
+    generated method of a wide table too long to be compiled. For a longer list join a
     table of codes instead (``operators.lookup.lookup_codes``).
     """
     code = c.cast("string")
-    chain = None
-    for key, name in names.items():
-        hit, label = code == F.lit(key), F.lit(name)
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    return code if chain is None else chain.otherwise(code)
+    if not names:
+        return code
+    pairs = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
+    return F.coalesce(F.try_element_at(pairs, code), code)
 
 
 def band(c: Column, floors: Sequence[tuple[float, str]], below: str) -> Column:

@@ -12,7 +12,7 @@ from pavilion.plans.specs import BALL_BY_BALL_PER_INNINGS, SPECS, TEAM_NAMES
 from pavilion.sources.schemas import BALL_BY_BALL, MATCH, PLAYER, PLAYER_MATCH, TEAM
 from testbed.operator_queries import TITLE
 from testbed.registry import add
-from testbed.star import projections, star_sql, star_table, star_tables
+from testbed.star import StarTables, projections, star_sql, star_table
 
 # Names the SQL below uses for the star tables.
 _SHORT = {"ball": BALL_BY_BALL, "game": MATCH, "player": PLAYER, "squad": PLAYER_MATCH, "team": TEAM}
@@ -25,7 +25,7 @@ def _analytic(name, sql, function=None, finish=lambda df: df, dated=False, **opt
 
     def on_star(spark, sf_dir):
         day = {"as_of": F.lit("2024-01-01").cast("date")} if dated else {}
-        return finish(run(star_tables(spark, sf_dir), **options, **day))
+        return finish(run(StarTables(spark, sf_dir), **options, **day))
 
     add(name, on_star, f"{_WITH} {sql}")
 

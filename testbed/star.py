@@ -1,12 +1,14 @@
 """The given tables read as the five tables of the star schema.
 
-Every table is a projection of one given table, over all its rows. The expressions are
-written once, in SQL that Spark and DuckDB read alike, and hold the kinds of dirt the
-cleaning is for: blanks, null keys, duplicate keys, several date shapes, codes without a
+Every table is a projection of one given table, over all its rows, by way of a few helper
+columns. The expressions are written once, in SQL that Spark and DuckDB read alike, and
+hold the kinds of dirt the cleaning is for: blanks, null keys, duplicate keys, several date shapes, codes without a
 name, keys that the other table does not hold.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pavilion.sources import SCHEMAS
@@ -28,72 +30,87 @@ def _flag(condition: str) -> str:
     return f"case when {condition} then 1 else 0 end"
 
 
-_discount = "cast(round(l_discount * 100) as int)"
-_tax = "cast(round(l_tax * 100) as int)"
-_runs = "cast(l_quantity as int)"
-_order_year = "cast(year(o_orderdate) as int)"
+# Given table: helper columns that the projections below share.
+HELPERS: dict[str, dict[str, str]] = {
+    "lineitem": {
+        "discount": "cast(round(l_discount * 100) as int)",
+        "tax": "cast(round(l_tax * 100) as int)",
+        "runs": "cast(l_quantity as int)",
+        "flag_a": "case l_returnflag when 'A' then 1 else 0 end",
+        "mdy": _month_first("l_shipdate"),
+        "dmy": _day_first("l_shipdate"),
+    },
+    "orders": {
+        "placed_year": "cast(year(o_orderdate) as int)",
+        "placed_month": "cast(month(o_orderdate) as int)",
+        "placed_day": "cast(day(o_orderdate) as int)",
+        "mdy": _month_first("o_orderdate"),
+        "dmy": _day_first("o_orderdate"),
+    },
+    "supplier": {},
+    "events": {"mdy": _month_first("ts"), "dmy": _day_first("ts")},
+    "nation": {},
+}
 
 # Table: (given table, {column: expression}); a column left out is null throughout.
 STAR: dict[str, tuple[str, dict[str, str]]] = {
     BALL_BY_BALL: ("lineitem", {
         "match_id": "cast(l_orderkey as int)",
         "over_id": "l_linenumber",
-        "ball_id": f"case when {_runs} = 50 then null else {_tax} end",
+        "ball_id": "case when runs = 50 then null else tax end",
         "innings_no": "case l_linestatus when 'F' then 1 else 2 end",
-        "team_batting": f"cast({_discount} + l_linenumber as string)",
-        "team_bowling": f"case {_tax} when 0 then null when 1 then '  ' when 2 then ' 3' else cast({_tax} as string) end",
+        "team_batting": "cast(discount + l_linenumber as string)",
+        "team_bowling": "case tax when 0 then null when 1 then '  ' when 2 then ' 3' else cast(tax as string) end",
         "striker_batting_position": "nullif(l_linenumber, 3)",
         "extra_type": "case l_returnflag when 'R' then '   ' when 'A' then '  WIDE   ball ' else 'no-BALL' end",
-        "runs_scored": f"nullif({_runs}, 13)",
-        "extra_runs": f"nullif({_discount}, 9)",
+        "runs_scored": "nullif(runs, 13)",
+        "extra_runs": "nullif(discount, 9)",
         "wides": _flag("l_returnflag = 'R'"),
-        "legbyes": _tax,
-        "byes": f"nullif({_discount}, 0)",
-        "noballs": _flag(f"{_tax} = 8"),
-        "penalty": f"{_flag(_discount + ' = 10')} * 5",
-        "bowler_extras": f"nullif({_tax}, 4)",
+        "legbyes": "tax",
+        "byes": "nullif(discount, 0)",
+        "noballs": _flag("tax = 8"),
+        "penalty": "case discount when 10 then 5 else 0 end",
+        "bowler_extras": "nullif(tax, 4)",
         "out_type": "case l_returnflag when 'R' then null when 'A' then 'CAUGHT and  bowled' else 'run-out' end",
-        "caught": _flag("l_returnflag = 'A'"),
+        "caught": "flag_a",
         "bowled": _flag("l_returnflag = 'N' and l_linestatus = 'F'"),
-        "run_out": f"case when {_tax} = 2 then null else {_flag(_discount + ' = 3')} end",
-        "lbw": _flag(f"{_discount} = 4"),
-        "retired_hurt": _flag(f"{_runs} = 1"),
-        "stumped": _flag(f"{_runs} = 2"),
-        "caught_and_bowled": _flag(f"{_runs} > 40"),
+        "run_out": "case when tax = 2 then null when discount = 3 then 1 else 0 end",
+        "lbw": _flag("discount = 4"),
+        "retired_hurt": _flag("runs = 1"),
+        "stumped": _flag("runs = 2"),
+        "caught_and_bowled": _flag("runs > 40"),
         "hit_wicket": "cast(0 as int)",
-        "bowler_wicket": f"case when {_discount} = 10 then null when l_linestatus = 'F' then 0 else 1 end",
+        "bowler_wicket": "case when discount = 10 then null when l_linestatus = 'F' then 0 else 1 end",
         "match_date": (
-            f"case l_linenumber when 1 then {_month_first('l_shipdate')} when 2 then {_day_first('l_shipdate')}"
-            f" when 3 then cast(cast(l_shipdate as date) as string) when 4 then '31-02-2013' when 5 then null"
-            f" when 6 then ' ' else ' ' || {_month_first('l_shipdate')} || ' ' end"
+            "case l_linenumber when 1 then mdy when 2 then dmy when 3 then cast(cast(l_shipdate as date) as string)"
+            " when 4 then '31-02-2013' when 5 then null when 6 then ' ' else ' ' || mdy || ' ' end"
         ),
         "season": "cast(year(l_shipdate) as int)",
         "striker": "cast(l_suppkey as int)",
         "non_striker": "cast(l_partkey as int)",
-        "bowler": f"case when {_tax} = 0 then null else cast(l_suppkey as int) end",
-        "player_out": "case when l_returnflag = 'A' then cast(l_suppkey as int) end",
-        "fielders": "case when l_returnflag = 'A' then cast(l_partkey as int) end",
+        "bowler": "case when tax = 0 then null else cast(l_suppkey as int) end",
+        "player_out": "case flag_a when 1 then cast(l_suppkey as int) end",
+        "fielders": "case flag_a when 1 then cast(l_partkey as int) end",
         "striker_match_sk": "cast(l_partkey as int)",
         "strikersk": "cast(l_suppkey as int)",
         "bowler_sk": "cast(floor(l_extendedprice) as int)",
-        "keeper_catch": _flag("l_returnflag = 'A' and l_linestatus = 'O'"),
+        "keeper_catch": _flag("flag_a = 1 and l_linestatus = 'O'"),
         "matchdatesk": _flag("l_linestatus = 'O'"),
     }),
     MATCH: ("orders", {
         "match_sk": "cast(o_orderkey as int)",
         "match_id": "case when o_totalprice > 495000 then -1 - cast(o_orderkey as int) else cast(o_orderkey as int) end",
-        "team1": "' team   ' || cast(month(o_orderdate) as string)",
-        "team2": "case o_orderstatus when 'P' then null else 'TEAM ' || cast(day(o_orderdate) as string) end",
+        "team1": "' team   ' || cast(placed_month as string)",
+        "team2": "case o_orderstatus when 'P' then null else 'TEAM ' || cast(placed_day as string) end",
         "match_date": (
-            f"case o_orderstatus when 'P' then {_month_first('o_orderdate')}"
-            f" when 'O' then {_day_first('o_orderdate')} else ' ' || {_month_first('o_orderdate')} end"
+            "case o_orderstatus when 'P' then mdy when 'O' then dmy else ' ' || mdy end"
         ),
-        "season_year": f"case when o_orderstatus = 'P' and month(o_orderdate) = 12 then null else {_order_year} end",
+        "season_year": "case when o_orderstatus = 'P' and placed_month = 12 then null else placed_year end",
         "venue_name": "o_orderpriority || ' ' || o_orderstatus",
-        "city_name": "case when day(o_orderdate) = 1 then null else 'City ' || cast(month(o_orderdate) as string) end",
+        "city_name": "case when placed_day = 1 then null else 'City ' || cast(placed_month as string) end",
         "country_name": "o_orderstatus",
         "toss_winner": "case o_orderstatus when 'F' then '  ' else o_orderpriority end",
-        "match_winner": "case when day(o_orderdate) = 31 then null else 'Team ' || cast(month(o_orderdate) as string) end",
+        "match_winner": "case when placed_day = 31 then null else 'Team ' || cast(placed_month as string) end",
         "toss_name": "case o_orderstatus when 'F' then 'bat' when 'O' then 'field' end",
         "win_type": "lower(o_orderpriority)",
         "outcome_type": "case o_orderpriority when '5-LOW' then 'No  Result' else o_orderpriority end",
@@ -116,7 +133,7 @@ STAR: dict[str, tuple[str, dict[str, str]]] = {
         "match_id": "cast(event_id as int)",
         "player_id": "cast(user_id as int)",
         "player_name": "'player   ' || cast(user_id as string)",
-        "dob": f"case event_type when 'view' then {_month_first('ts')} when 'click' then {_day_first('ts')} end",
+        "dob": "case event_type when 'view' then mdy when 'click' then dmy end",
         "batting_hand": "case event_type when 'view' then ' ' else 'RIGHT-hand' end",
         "country_name": "props",
         "role_desc": "event_type",
@@ -150,16 +167,31 @@ def projections(table: str, parsed: bool = False) -> list[tuple[str, str]]:
 
 def star_table(spark: SparkSession, sf_dir: str, table: str, parsed: bool = False) -> DataFrame:
     """A star table over a folder of given tables."""
-    source = spark.read.parquet(f"{sf_dir}/{STAR[table][0]}.parquet")
-    return source.selectExpr(*[f"{expr} as `{name}`" for name, expr in projections(table, parsed)])
+    given = STAR[table][0]
+    source = spark.read.parquet(f"{sf_dir}/{given}.parquet")
+    helped = source.selectExpr("*", *[f"{expr} as {name}" for name, expr in HELPERS[given].items()])
+    return helped.selectExpr(*[f"{expr} as `{name}`" for name, expr in projections(table, parsed)])
+
+
+class StarTables(Mapping):
+    """The five tables with their parsed dates, each opened when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return star_table(self._spark, self._sf_dir, table, parsed=True)
 
+    def __iter__(self):
+        return iter(STAR)
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five, with their parsed dates."""
-    return {table: star_table(spark, sf_dir, table, parsed=True) for table in STAR}
+    def __len__(self) -> int:
+        return len(STAR)
 
 
 def star_sql(table: str, parsed: bool = False) -> str:
     """The same star table as a DuckDB SELECT."""
+    given = STAR[table][0]
+    helpers = "".join(f", {expr} as {name}" for name, expr in HELPERS[given].items())
     columns = ", ".join(f'{expr} as "{name}"' for name, expr in projections(table, parsed))
-    return f"select {columns} from {STAR[table][0]}"
+    return f"select {columns} from (select *{helpers} from {given})"
