@@ -22,7 +22,12 @@ def load_raw(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dict
 
 
 def ingest(spark: SparkSession, source: str, target: str) -> dict[str, str]:
-    """Copy the raw tables in full, replacing what was there; returns the tables that failed."""
+    """Copy the raw tables in full, replacing what was there; returns the tables that failed.
+
+    Spark's CSV writer trims each value, so a date kept from parsing by a leading space
+    is readable in the copy.
+    """
+    _keep_apart(source, target)
     tables, errors = load_raw(spark, source)
     for name, df in tables.items():
         write_table(df, f"{target}/{_RAW_NAMES.get(name, name)}", "csv", compact=True)
@@ -31,6 +36,7 @@ def ingest(spark: SparkSession, source: str, target: str) -> dict[str, str]:
 
 def clean_all(spark: SparkSession, raw: str, target: str, fmt: str = "parquet", suffix: str = "") -> DataFrame:
     """Clean every raw table into ``target``; returns the audit."""
+    _keep_apart(raw, target)
     tables, errors = load_raw(spark, raw, suffix)
     specs = {name: spec for name, spec in SPECS.items() if name not in errors}
     return run_cleaning(spark, tables, specs, target, fmt, compact=True)
@@ -47,3 +53,8 @@ def report(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One named analytic over the cleaned tables."""
     analytic: Callable[[Tables], DataFrame] = ANALYTICS[name]
     return analytic(load_clean(spark, base))
+
+
+def _keep_apart(source: str, target: str) -> None:
+    if source.rstrip("/") == target.rstrip("/"):
+        raise ValueError(f"{target} would be emptied before it is read; write to another folder")

@@ -1,0 +1,89 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
+
+from pavilion.functions import (
+    band, contains_label, fill_blank, high_impact, is_blank, is_true, map_codes, normalise_name, parse_date,
+    standardise, whole_or_zero, year_after_days_back,
+)
+from pavilion.plans.specs import TEAM_NAMES
+
+
+def apply(spark, values, build, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [row.out for row in df.select("i", build(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("  Kings   XI Punjab ", "Kings Xi Punjab"), ("left-hand BAT", "Left-hand Bat"), ("o'neil-dhoni", "O'neil-dhoni"),
+    ("XI\tPunjab", "Xi\tpunjab"), ("BLANK", "Blank"), ("\t a  b", "\t A B"), ("", ""), (None, None),
+])
+def test_standardise(spark, raw, want):
+    assert apply(spark, [raw], standardise) == [want]
+
+
+def test_standardise_keeps_listed_spellings(spark):
+    assert apply(spark, [" kings xi  PUNJAB", "other XI"], lambda c: standardise(c, ["Kings XI Punjab"])) == [
+        "Kings XI Punjab", "Other Xi"]
+
+
+def test_blanks(spark):
+    values = [None, "", "   ", "\t", " a "]
+    assert apply(spark, values, is_blank) == [True, True, True, False, False]
+    assert apply(spark, values, fill_blank) == ["BLANK", "BLANK", "BLANK", "\t", " a "]
+
+
+def test_integers(spark):
+    text = lambda c: whole_or_zero(c, StringType())
+    assert apply(spark, [None, "", "  ", " 7 ", "-3", "x", "99999999999"], text) == [0, 0, 0, 7, -3, 0, 0]
+    assert apply(spark, [None, 0, 5], lambda c: whole_or_zero(c, IntegerType()), "int") == [0, 0, 5]
+
+
+def test_flags(spark):
+    assert apply(spark, ["TRUE", "1", "false", "", "null", None, "2"], is_true) == [True, True] + [False] * 5
+    assert apply(spark, [1, 0, None], is_true, "int") == [True, False, False]
+
+
+def test_dates(spark):
+    values = ["4/22/2013", "04/02/2013", "05-12-2013", "22/4/2013", "31-02-2013", "2013-04-22", "5-12-2013",
+              " 4/22/2013", "", None]
+    day = datetime.date
+    assert apply(spark, values, parse_date) == [
+        day(2013, 4, 22), day(2013, 4, 2), day(2013, 12, 5)] + [None] * 7
+
+
+def test_codes(spark):
+    values = ["1", "4", "13", "14", " 1", "Other", None]
+    assert apply(spark, values, lambda c: map_codes(c, TEAM_NAMES)) == [
+        "Kolkata Knight Riders", "Kings XI Punjab", "Gujarat Lions", "14", " 1", "Other", None]
+    assert apply(spark, [1, 99, None], lambda c: map_codes(c, TEAM_NAMES), "int") == ["Kolkata Knight Riders", "99", None]
+
+
+def test_bands(spark):
+    label = lambda c: band(c, [(50, "Medium"), (100, "High")], "Low")
+    assert apply(spark, [None, 49, 50, 99, 100], label, "int") == ["Low", "Low", "Medium", "Medium", "High"]
+
+
+def test_high_impact(spark):
+    rows = [(6, 0), (6, 1), (6, None), (7, 1), (7, None), (None, 0), (None, 1), (None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, total int, wicket int")
+
+    def flags(**options):
+        flagged = df.select("i", high_impact(F.col("total"), F.col("wicket"), **options).alias("f"))
+        return [r.f for r in flagged.orderBy("i").collect()]
+
+    assert flags() == [True, False, False, True, True, True, False, False]
+    assert flags(wicket_value=1) == [False, True, False, True, True, False, True, False]
+
+
+def test_names_and_styles(spark):
+    assert apply(spark, ["Left-hand Bat", "Zoë Ab_1", None], normalise_name) == ["lefthandbat", "zoab1", None]
+    style = lambda c: contains_label(c, "left", "L", "R")
+    assert apply(spark, ["lefthandbat", "righthandbat", "blank", None], style) == ["L", "R", "R", "R"]
+
+
+def test_season_taken_off_as_days(spark):
+    as_of = F.lit("2026-12-03").cast("date")
+    assert apply(spark, [2010, None], lambda c: year_after_days_back(as_of, c), "int") == [2021, None]
