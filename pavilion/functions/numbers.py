@@ -14,7 +14,9 @@ def whole_or_zero(c: Column, dtype: DataType) -> Column:
     if isinstance(dtype, IntegerType):
         return F.coalesce(c, F.lit(0))
     if isinstance(dtype, StringType):
-        return F.coalesce(F.trim(c).try_cast("int"), F.lit(0))
+        text = F.trim(c)
+        # A failed cast costs far more than the test that spares it.
+        return F.coalesce(F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int")), F.lit(0))
     return F.coalesce(c.try_cast("int"), F.lit(0))
 
 
