@@ -2,9 +2,10 @@
 
 No join is hinted. Spark broadcasts a side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``; above it both sides are shuffled, and
-adaptive execution splits a key that holds too many rows. Where a result is
-aggregated anyway, the rows are aggregated to the join key first, so that no key is
-hot when the join runs.
+adaptive execution splits a key that holds too many rows. It can do so only where both
+sides are shuffled for the join itself, which ``split_keys`` makes sure of. Where a
+result is aggregated anyway, the rows are aggregated to the join key first, so that no
+key is hot when the join runs.
 """
 from __future__ import annotations
 
@@ -16,16 +17,22 @@ from pavilion.operators.filters import require_keys
 
 
 def lookup_left(
-    df: DataFrame, other: DataFrame, left_key: str, right_key: str, columns: Sequence[str]
+    df: DataFrame, other: DataFrame, left_key: str, right_key: str, columns: Sequence[str], split_keys: bool = False
 ) -> DataFrame:
     """Add ``columns`` of the other table by key; null where the key is not there.
 
     A column that ``df`` already has is replaced. A key that occurs twice in ``other``
-    doubles the row: keep the table unique.
+    doubles the row: keep the table unique. Set ``split_keys`` when ``df`` has many rows
+    per key and ``other`` is the result of a grouping by that key: wrapped in a struct,
+    the key no longer matches the grouping's partitions, so the join gets its own.
     """
     marker = "__lookup_key"
-    wanted = other.select(F.col(right_key).alias(marker), *columns)
-    return df.drop(*[c for c in columns if c != left_key]).join(wanted, F.col(left_key) == F.col(marker), "left").drop(marker)
+    wanted = require_keys(other, [right_key]).select(F.col(right_key).alias(marker), *columns)
+    keys = F.col(left_key), F.col(marker)
+    if split_keys:
+        keys = F.struct(keys[0].alias("key")), F.struct(keys[1].alias("key"))
+    kept = df.drop(*[c for c in columns if c != left_key])
+    return kept.join(wanted, keys[0] == keys[1], "left").drop(marker)
 
 
 def lookup_codes(df: DataFrame, column: str, names: DataFrame, code: str, name: str) -> DataFrame:

@@ -23,7 +23,8 @@ def best_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The rows that hold the highest value of their group, all of them on a tie.
 
     The highest value is found by aggregation and matched back, so a large group is
-    never sorted in one task. Rows with a null key or value are left out.
+    never sorted in one task. Matching on group and value as one struct spreads a large
+    group by its values, and lets a null group match itself.
     """
-    best = df.groupBy(*keys).agg(F.max(value).alias(value))
-    return df.join(best, [*keys, value], "left_semi")
+    best = df.groupBy(*keys).agg(F.max(value).alias(value)).select(F.struct(*keys, value).alias("__best"))
+    return df.join(best, F.struct(*[df[c] for c in (*keys, value)]) == F.col("__best"), "left_semi")

@@ -259,7 +259,7 @@ def years_since_debut(tables: Tables, as_of: Column | None = None) -> DataFrame:
     day = F.current_date() if as_of is None else as_of
     played = tables[PLAYER_MATCH]
     debuts = played.groupBy("player_id").agg(F.min("season_year").alias("__debut"))
-    placed = lookup_left(played, debuts, "player_id", "player_id", ["__debut"])
+    placed = lookup_left(played, debuts, "player_id", "player_id", ["__debut"], split_keys=True)
     return placed.withColumn("years_Since_debut", F.year(day) - F.col("__debut")).drop("__debut")
 
 

@@ -117,6 +117,8 @@ def test_group_mean_drops_null_keys(spark):
 def test_best_per_group_keeps_ties(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (1, "c", 4), (2, "d", 1), (2, "e", None)], "s int, n string, v int")
     assert sorted(r.n for r in best_per_group(df, ["s"], "v").collect()) == ["a", "b", "d"]
+    unknown = spark.createDataFrame([(None, "x", 3), (None, "y", 2)], df.schema)
+    assert sorted(r.n for r in best_per_group(df.union(unknown), ["s"], "v").collect()) == ["a", "b", "d", "x"]
 
 
 def test_histogram_matches_numpy(spark):

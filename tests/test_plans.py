@@ -1,8 +1,10 @@
 """What the optimizer makes of the queries."""
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as contract
-from pavilion.operators import keep_one, ranked, require_keys, rows_where_zero
+from pavilion.operators import keep_one, lookup_left, ranked, require_keys, rows_where_zero
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -46,3 +48,28 @@ def test_shuffles(spark, name, shuffles):
 def test_names_are_looked_up_for_the_rows_kept(spark):
     text = plan(contract.queries()["career_scorers"](spark, SF_DIR))
     assert text.count("TakeOrderedAndProject") == 2
+
+
+@pytest.fixture
+def small_partitions(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("grouped", [True, False])
+def test_a_hot_lookup_key_is_split(spark, small_partitions, grouped):
+    rows = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 3 = 0, 0, id) as k", "xxhash64(id) as v")
+    names = rows.groupBy("k").agg(F.max("v").alias("name")) if grouped else rows.dropDuplicates(["k"]).repartition(4).withColumnRenamed("v", "name")
+    found = lookup_left(rows, names, "k", "k", ["name"], split_keys=grouped)
+    total = found.agg(F.count("*"), F.count("name"), F.max(F.xxhash64("v", "name")))
+    assert total.collect()[0][:2] == (300_000, 300_000)
+    assert "SortMergeJoin(skew=true)" in plan(total)
