@@ -42,4 +42,4 @@ def map_spellings(c: Column, spellings: list[str]) -> Column:
 
 def normalise_name(c: Column) -> Column:
     """Strip everything but ASCII letters and digits, then lower-case."""
-    return F.lower(F.regexp_replace(c, "[^0-9A-Za-z]", ""))
+    return F.lower(F.regexp_replace(c, "[^0-9A-Za-z]+", ""))

@@ -16,33 +16,28 @@ def running_total(
     ordered window. One row comes out per group and order value.
 
     Rows are first summed per order value, which shrinks a large group before any
-    shuffle. Order values are then cut into blocks of ``block`` consecutive values:
-    a window runs within each block, and the total of all earlier blocks is added. So
-    no task sorts more than ``block`` values, even where one group holds most rows.
-    The order column must be an integer or a date.
+    shuffle. Order values are then cut into blocks of ``block`` consecutive values, and a
+    window runs within each block. It starts from one extra row that carries the total of
+    all earlier blocks; a group with a single block has none. So no task sorts more than
+    ``block`` values at a time, even where one group holds most rows. The order column
+    must be an integer or a date.
     """
-    position = _position(df, order)
-    group, step, carry = "__group", "__step", "__carry"
-    # A struct key, unlike a bare column, compares equal when what it holds is null.
+    block_of = F.floor(_position(df, order) / block).alias("__block")
+    at, step, carried = "__at", "__step", "__carried"
     steps = (
-        df.select(
-            F.struct(*by).alias(group),
-            F.struct(F.floor(position / block).alias("n")).alias("__block"),
-            order,
-            value,
-        )
-        .groupBy(group, "__block", order).agg(F.sum(value).alias(step))
+        df.select(*by, block_of, F.col(order).alias(at), F.col(value).alias(step))
+        .groupBy(*by, "__block", at).agg(F.sum(step).alias(step))
     )
-    earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        steps.groupBy(group, "__block").agg(F.sum(step).alias(step))
-        .select(group, "__block", F.sum(step).over(earlier).alias(carry))
-        .filter(F.col(carry).isNotNull())
+    earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carries = (
+        steps.groupBy(*by, "__block").agg(F.sum(step).alias(step))
+        .select(*by, "__block", F.lit(None).alias(at), F.sum(step).over(earlier).alias(step))
+        .filter(F.col(step).isNotNull())
     )
-    within = Window.partitionBy(group, "__block").orderBy(order)
-    placed = steps.withColumn(step, F.sum(step).over(within)).join(carried, [group, "__block"], "left")
-    total = F.coalesce(F.col(step) + F.col(carry), F.col(step), F.col(carry))
-    return placed.select(*[F.col(f"{group}.{k}").alias(k) for k in by], order, total.alias(name))
+    lines = steps.withColumn(carried, F.lit(False)).unionByName(carries.withColumn(carried, F.lit(True)))
+    within = Window.partitionBy(*by, "__block").orderBy(F.desc(carried), at)
+    totals = lines.withColumn(name, F.sum(step).over(within)).filter(~F.col(carried))
+    return totals.select(*by, F.col(at).alias(order), name)
 
 
 def _position(df: DataFrame, order: str) -> Column:

@@ -50,10 +50,18 @@ def test_names_are_looked_up_for_the_rows_kept(spark):
     assert text.count("TakeOrderedAndProject") == 2
 
 
+def test_a_running_total_scans_once(spark):
+    totals = contract.queries()["running_totals_by_date"](spark, SF_DIR)
+    totals.collect()
+    final = plan(totals).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 @pytest.fixture
 def small_partitions(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
     }
