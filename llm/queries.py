@@ -1,5 +1,5 @@
 """The registered queries of this subpackage."""
-from llm import exact_dedup, packing, pieces, topk  # noqa: F401  (they register their queries)
+from llm import exact_dedup, packing, pieces, preferences, topk, toxicity  # noqa: F401  (they register their queries)
 from llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
