@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from llm.common import codepoints, given, query, ranges, slices
 from llm.words import WordCache, byte_bpe_starts
 
-SLICE = 4 << 20  # bytes of text that a task encodes at a time
+SLICE = 1 << 20  # bytes of text that a task encodes at a time
 
 
 def tokenizer_file(name: str) -> str:

@@ -15,6 +15,16 @@ from llm.packing import SLICE, tokenizer_file
 from llm.words import WordCache
 
 BLANK = "▁"  # stands for a space
+NORMAL, BYTE = 1, 6  # fixed values: types of pieces in a model file
+
+
+def _read(path: str):
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    return model
 
 
 class Pieces:
@@ -25,28 +35,18 @@ class Pieces:
     """
 
     def __init__(self, path: str) -> None:
-        from sentencepiece import sentencepiece_model_pb2 as proto
-
-        model = proto.ModelProto()
-        with open(path, "rb") as file:
-            model.ParseFromString(file.read())
+        model = _read(path)
         spec = model.normalizer_spec
         if model.trainer_spec.model_type != 2 or spec.precompiled_charsmap or spec.remove_extra_whitespaces or not (
             spec.add_dummy_prefix and spec.escape_whitespaces and model.trainer_spec.byte_fallback
         ):
             raise ValueError(f"{path}: only merge-type models with byte fallback and without text normalisation are read")
-        kinds = proto.ModelProto.SentencePiece
-        plain = [(p.piece, i, p.score) for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL]
+        plain = [(p.piece, i, p.score) for i, p in enumerate(model.pieces) if p.type == NORMAL]
         order = {score: rank for rank, score in enumerate(sorted({-s for _, _, s in plain}))}
         self.ids = {text: i for text, i, _ in plain}
         self.text = {i: text for text, i, _ in plain}
         self.rank = {i: -1 if len(text) == 1 else order[-score] for text, i, score in plain}
-        self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
-        self.bytes = [b""] * len(model.pieces)
-        for text, i, _ in plain:
-            self.bytes[i] = text.replace(BLANK, " ").encode()
-        for value, i in self.byte_ids.items():
-            self.bytes[i] = bytes([value])
+        self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.parts: dict[int, tuple[int, int]] = {}  # of its last merge
         self.automaton = ahocorasick.Automaton()
         for text, i, _ in plain:
@@ -64,7 +64,7 @@ class Pieces:
                 self.odd.add(i)
         self.known = np.zeros(0x110000, bool)
         self.known[[ord(text) for text, _, _ in plain if len(text) == 1]] = True
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
 
     def merge(self, text: str) -> tuple[list[int], tuple[int, int] | None]:
         """Merge the best neighbours, leftmost first, until none merge; also the parts of the last merge."""
@@ -100,10 +100,11 @@ class Pieces:
         Undo the merges of both, the latest first. The symbols that touch at any one time must not form
         a piece that merges before either of them goes into a larger one.
         """
-        known = self.fits.get((left, right))
+        key = left << 32 | right
+        known = self.fits.get(key)
         if known is not None:
             return known
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) > 500_000:
             self.fits.clear()
         if left in self.odd or right in self.odd:
             fits = self.merge(self.text[left] + self.text[right])[0] == [left, right]
@@ -120,7 +121,7 @@ class Pieces:
                     y_ends, y = self.rank[y], self.parts[y][0]
                 else:
                     x_ends, x = self.rank[x], self.parts[x][1]
-        self.fits[left, right] = fits
+        self.fits[key] = fits
         return fits
 
     def encode(self, segment: str) -> list[int]:
@@ -157,6 +158,15 @@ def _model(path: str) -> tuple[Pieces, WordCache]:
     return pieces, WordCache(lambda words: [pieces.encode(w) for w in words])
 
 
+@lru_cache(2)
+def _spellings(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of every piece end to end, where each begins and how many it has."""
+    spelt = {NORMAL: lambda p: p.piece.replace(BLANK, " ").encode(), BYTE: lambda p: bytes([int(p.piece[3:5], 16)])}
+    spellings = [spelt.get(p.type, lambda _: b"")(p) for p in _read(path).pieces]
+    sizes = np.fromiter(map(len, spellings), np.int64, len(spellings))
+    return np.frombuffer(b"".join(spellings), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text, without begin or end ids.
 
@@ -188,9 +198,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, _ = _model(model)
-        sizes = np.fromiter(map(len, pieces.bytes), np.int64, len(pieces.bytes))
-        begin, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces.bytes), np.uint8)
+        flat, begin, sizes = _spellings(model)
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)

@@ -72,7 +72,7 @@ def segment_hashes(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
 class WordCache:
     """Ids of distinct words. Beyond ``limit`` words it starts anew, so memory stays bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_000_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 500_000) -> None:
         self.encode, self.limit = encode, limit
         self._clear()
 
