@@ -1,5 +1,5 @@
 """The registered queries of this subpackage."""
-from llm import exact_dedup, language, packing, pieces, preferences, quality, repeats, topk, toxicity  # noqa: F401  (they register their queries)
+from llm import exact_dedup, jaccard, language, packing, pieces, preferences, quality, repeats, topk, toxicity  # noqa: F401  (they register their queries)
 from llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
