@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import checkpoint, given, query
+from llm.common import checkpoint, given, query, type_of
 
 BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 
@@ -19,7 +19,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     Texts are equal when identical without ASCII white space; null counts as empty. Of equal
     texts the one with the most code points stays, then the smallest ``doc_id``; a null id comes
     last. Rows that also share that id are told apart by nothing, so each counts in
-    ``group_size`` and exactly one has ``kept``. Other columns are ignored.
+    ``group_size`` and exactly one has ``kept``. Other columns are ignored. ``doc_id`` may have any type with an order.
 
     Sampled splitters deal rows into ranges of (normalised text, code points, id), and each
     range is sorted, on disk where it must, so equal texts are neighbours and their first row is the
@@ -31,10 +31,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     normal = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.translate("text", BLANKS, "").alias("norm"), (-F.char_length("text")).alias("short")
     )
-    order = ["norm", "short", F.asc_nulls_last("doc_id")]
+    order, kind = ["norm", "short", F.asc_nulls_last("doc_id")], type_of(docs, "doc_id")
     ranged = normal.repartitionByRange(*order).sortWithinPartitions(*order)
     runs = ranged.withColumn("sha", F.sha2("norm", 256)).mapInArrow(
-        _runs, "doc_id long, short int, sha string, first boolean, keep_id long, n long, edge boolean, head string"
+        _runs, f"doc_id {kind}, short int, sha string, first boolean, keep_id {kind}, n long, edge boolean, head string"
     )
     rows = checkpoint(runs)
     best = F.min(F.struct("short", F.col("keep_id").isNull().alias("none"), "keep_id"))
@@ -63,7 +63,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = opening or final
         return pa.record_batch({
             "doc_id": ids, "short": pa.array(np.full(n, short, np.int32)), "sha": pa.repeat(sha, n),
-            "first": pa.array(np.arange(n) == 0), "keep_id": pa.repeat(ids[0], n), "n": pa.repeat(pa.scalar(n, pa.int64()), n),
+            "first": pa.array(np.arange(n) == 0), "keep_id": ids.take(pa.array(np.zeros(n, np.int64))), "n": pa.repeat(pa.scalar(n, pa.int64()), n),
             "edge": pa.repeat(edge, n), "head": pa.array([last if edge else None] + [None] * (n - 1), pa.string()),
         })
 

@@ -6,8 +6,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from llm.common import checkpoint, given, mix, query, slices, utf8
+from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
 from llm.components import components
 from llm.repeats import Rolling
 
@@ -82,7 +83,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     when their sets share at least three quarters of their union. ``component_id`` is the smallest ``doc_id`` that links reach, the
     document's own included. Equal sets are one class: each class is compared once, however many rows share
     it. Rows without words link with nothing. Repeated rows are linked; a null id is kept and is no one's component
-    unless a component has no other. Other columns are ignored.
+    unless a component has no other. Other columns are ignored. ``doc_id`` may have any type with an order.
 
     Shingles, sets and texts are told apart by 64-bit hashes. Links are found in two steps, both exact in what they link:
 
@@ -97,7 +98,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counter, then hash, it is the same everywhere, so counters that shingles share cost time, never a link.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    read = checkpoint(rows.mapInArrow(_members, "doc_id long, text_hash long, n_shingles long, class long, chunk int, counts binary"))
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
+    read = checkpoint(rows.mapInArrow(lambda b: _members(b, id_type), f"doc_id {type_of(docs, 'doc_id')}, text_hash long, n_shingles long, class long, chunk int, counts binary"))
     members = read.filter(F.col("chunk").isNull()).select("doc_id", "text_hash", "n_shingles", "class")
     added = read.filter(F.col("chunk").isNotNull()).select("chunk", "counts").repartition("chunk").mapInArrow(_added, "chunk int, counts binary")
     table = np.zeros(BUCKETS, np.int64)
@@ -132,7 +134,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Every row's class, then how many distinct sets of this task have a shingle in each counter."""
     table = np.zeros(BUCKETS, np.int64)
     seen: set[int] = set()
@@ -149,7 +151,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunks = BUCKETS // CHUNK
     none = pa.nulls(chunks, pa.int64())
     yield pa.record_batch({
-        "doc_id": none, "text_hash": none, "n_shingles": none, "class": none, "chunk": pa.array(np.arange(chunks, dtype=np.int32)),
+        "doc_id": pa.nulls(chunks, id_type), "text_hash": none, "n_shingles": none, "class": none, "chunk": pa.array(np.arange(chunks, dtype=np.int32)),
         "counts": pa.array([c.tobytes() for c in table.reshape(chunks, CHUNK)], pa.binary()),
     })
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import checkpoint, given, mix, query, slices, utf8
+from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
 
 SLICE = 1 << 20  # bytes of text that a task reads at a time
 STRETCH = 1 << 21  # window starts that are looked at together; longer texts go on in the next stretch
@@ -293,14 +293,14 @@ def _windows(rows: pa.Table, length: int, count_later: bool) -> Iterator[pa.Reco
     })
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, group: int = GROUP, as_text: bool = False) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``removed`` and ``kept`` of every row.
 
     Every byte goes that lies in a ``length``-byte string (of the text in UTF-8) which also starts anywhere else, in this or
     another row; strings are judged on the input. ``removed`` lists the maximal removed runs as ``[start, end)`` in order,
-    ``kept`` holds the bytes that are left. A null text is empty, shorter texts lose nothing. Rows that repeat another's
+    ``kept`` holds the bytes that are left, or with ``as_text`` the whole characters that are left. A null text is empty, shorter texts lose nothing. Rows that repeat another's
     text lose all of it if it has ``length`` bytes. A null id is kept, other columns are ignored. Texts are told
-    apart by a 64-bit hash.
+    apart by a 64-bit hash. ``doc_id`` may have any type.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = repeated_spans(docs, length, group).withColumn("hit", F.lit(True))
@@ -329,10 +329,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, group: int = GROUP) -> Da
                 turns = np.flatnonzero(np.diff(np.r_[False, inside, False]))
                 removed.append([{"start": x, "end": y} for x, y in zip(turns[::2].tolist(), turns[1::2].tolist())])
                 kept.append(own[~inside].tobytes())
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_bytes": pa.array(np.diff(starts)), "removed": pa.array(removed, kind), "kept": pa.array(kept, pa.binary())})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_bytes": pa.array(np.diff(starts)), "removed": pa.array(removed, kind), "kept": pa.array(kept, pa.binary()) if not as_text else pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())})
 
     return rows.join(found, "text_hash", "left").select("doc_id", "text", "hit", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
+        run, f"doc_id {type_of(docs, 'doc_id')}, n_bytes long, removed array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
     )
 
 
