@@ -222,9 +222,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     best = F.array_min("entropies")
     odds = F.aggregate(F.transform("entropies", lambda x: F.exp((best - x) * model.scale)), F.lit(0.0), lambda a, b: a + b)
     limits = F.create_map(*[F.lit(x) for pair in (model.limits or {"": 0.0}).items() for x in pair])
+    told = F.col("entropies").isNotNull()
     named = _entropies(docs, model, ["doc_id"]).select(
-        "doc_id", F.coalesce(F.element_at(names, F.array_position("entropies", best).cast("int")), F.lit(UNKNOWN)).alias("lang_pred"),
-        F.coalesce(1 / odds, F.lit(0.0)).alias("score"), best.alias("least"),
+        "doc_id", F.when(told, F.element_at(names, F.array_position("entropies", best).cast("int"))).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(told, 1 / odds).otherwise(0.0).alias("score"), best.alias("least"),
     )
     beyond = F.coalesce(F.col("least") > F.try_element_at(limits, F.col("lang_pred")), F.col("least").isNull())
     return named.withColumn("rejected", beyond).drop("least")
