@@ -1,12 +1,19 @@
 """Histogram and density of one numeric column.
 
-Both read the column twice: once for its bounds, held as a one-row scalar subquery,
-and once for the result. Only one row per bin or grid point leaves a task.
+Both read the column twice, once for its bounds and once for the result. Only one row per bin
+or grid point leaves a task.
 """
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+_CELLS = 1 << 20  # kernels that a task works out at a time
+
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Counts over equal-width bins from the lowest to the highest value.
@@ -46,38 +53,40 @@ def density(df: DataFrame, column: str, points: int = 200, count_scale_bins: int
     sample standard deviation times n^(-1/5). ``count_scale_bins`` scales the curve to
     the height of a histogram with that many bins.
 
-    Equal values are merged first. Each value then adds to the grid points within
-    reach of its kernel, so the work falls as the bandwidth narrows with more data; a
-    point beyond adds exactly zero. No curve (no rows) comes out when there are
-    fewer than two different values.
+    The column is read twice: by a first job for its count, bounds and spread, and for the curve.
+    There every task adds its values into one sum per grid point and hands on these
+    ``points`` sums; no value is shuffled. A value is added only to the grid points within reach
+    of its kernel; a point beyond would add exactly zero. No curve (no rows) comes out when
+    there are fewer than two different values.
     """
     x = _values(df, column)
-    stats = (
-        _bounds(x, F.min("x"), F.max("x"), F.stddev_samp("x"), F.count("x"))
-        .withColumn("n", F.col("n").cast("double"))
-        .withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)))
-        .filter(F.col("hi") > F.col("lo"))
-        .withColumn("step", (F.col("hi") - F.col("lo")) / (points - 1))
-    )
-    s = stats.select(F.struct("lo", "hi", "n", "h", "step")).scalar()
-    merged = x.groupBy("x").agg(F.count(F.lit(1)).alias("copies")).withColumn("s", s)
-    centre, reach = (F.col("x") - F.col("s.lo")) / F.col("s.step"), F.col("s.h") * _KERNEL_REACH / F.col("s.step")
-    first = F.greatest(F.ceil(centre - reach), F.lit(0).cast("long"))
-    last = F.least(F.floor(centre + reach), F.lit(points - 1).cast("long"))
-    spread = merged.filter(F.col("s").isNotNull()).select(
-        "x", "copies", "s", F.explode(F.sequence(first, last)).alias("i")
-    )
-    point = F.col("s.lo") + (F.col("s.hi") - F.col("s.lo")) * F.col("i") / (points - 1)
-    z = (point - F.col("x")) / F.col("s.h")
-    kernels = spread.select("i", (F.col("copies") * F.exp(-0.5 * z * z)).alias("k"))
-    summed = kernels.groupBy("i").agg(F.sum("k").alias("k"))
-    grid = stats.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
-    area = F.col("n") * F.col("h") * F.sqrt(2 * F.pi())
-    scale = F.lit(1.0) if count_scale_bins is None else F.col("n") * (F.col("hi") - F.col("lo")) / count_scale_bins
-    return grid.join(summed, "i", "left").select(
-        F.col("i").cast("int").alias("i"),
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / (points - 1)).alias("x"),
-        (F.coalesce("k", F.lit(0.0)) / area * scale).alias("density"),
+    lo, hi, sd, n = _bounds(x, F.min("x"), F.max("x"), F.stddev_samp("x"), F.count("x")).first()
+    curve = "i int, x double, density double"
+    if not n or not hi > lo:
+        return df.sparkSession.createDataFrame([], curve)
+    h, step = sd * float(n) ** -0.2, (hi - lo) / (points - 1)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(points)
+        reach = int(min(points, np.ceil(h * _KERNEL_REACH / step) + 1))
+        near = np.arange(-reach, reach + 1)
+        for batch in batches:
+            values, copies = np.unique(batch.column("x").to_numpy(), return_counts=True)
+            rows = max(1, _CELLS // len(near))
+            for at in range(0, len(values), rows):
+                value = values[at : at + rows, None]
+                i = np.rint((value - lo) / step).astype(np.int64) + near
+                z = (lo + (hi - lo) * i / (points - 1) - value) / h
+                kernel = copies[at : at + rows, None] * np.exp(-0.5 * z * z)
+                on = (i >= 0) & (i < points)
+                sums += np.bincount(i[on], kernel[on], points)
+        yield pa.record_batch({"i": pa.array(np.arange(points, dtype=np.int32)), "k": pa.array(sums)})
+
+    area = n * h * math.sqrt(2 * math.pi)
+    scale = 1.0 if count_scale_bins is None else n * (hi - lo) / count_scale_bins
+    summed = x.mapInArrow(add, "i int, k double").groupBy("i").agg(F.sum("k").alias("k"))
+    return summed.select(
+        "i", (F.lit(lo) + F.lit(hi - lo) * F.col("i") / (points - 1)).alias("x"), (F.col("k") / area * scale).alias("density")
     )
 
 

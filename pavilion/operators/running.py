@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, IntegralType
 
+_AT, _STEP, _CARRIED, _HERE, _ABOVE = "__at", "__step", "__carried", "__here", "__above"
+
 
 def running_total(
     df: DataFrame, by: Sequence[str], order: str, value: str, name: str, block: int = 65_536
@@ -16,34 +18,57 @@ def running_total(
     ordered window. One row comes out per group and order value.
 
     Rows are first summed per order value, which shrinks a large group before any
-    shuffle. Order values are then cut into blocks of ``block`` consecutive values, and a
-    window runs within each block. It starts from one extra row that carries the total of
-    all earlier blocks; a group with a single block has none. So no task sorts more than
-    ``block`` values at a time, even where one group holds most rows. The order column
-    must be an integer or a date.
+    shuffle. Where the order values span no more than ``block`` whole numbers, one window per group
+    does the rest. Where they span more, they are cut into blocks of ``block`` consecutive
+    values, blocks into blocks of blocks, and so on until the top level has no more than ``block``: a
+    long needs four levels at most. Each level's window starts from one extra row that
+    carries the total of all that is earlier, found one level up. So no window holds more than
+    ``block`` + 1 rows, however many rows or values a group has and however sparse they are. The
+    span is read by a job of its own over the order column, which must be an integer or a date.
     """
-    block_of = F.floor(_position(df, order) / block).alias("__block")
-    at, step, carried = "__at", "__step", "__carried"
+    radix = max(2, block)
+    lowest, highest = df.select(_position(df, order, F.col(order)).alias("p")).agg(F.min("p"), F.max("p")).first()
+    levels = 1
+    while lowest is not None and highest // radix ** (levels - 1) - lowest // radix ** (levels - 1) >= radix:
+        levels += 1
+
+    def block_of(level: int) -> Column:
+        """The block of an order value at a level; at level 0 the value's own position."""
+        place = _position(df, order, F.col(_AT)).cast("long")
+        for _ in range(level):
+            # Rounds down, and is exact for every long: dividing by / would go through a double.
+            place = F.call_function("div", place, F.lit(radix)) - F.when(F.try_mod(place, F.lit(radix)) < 0, 1).otherwise(0)
+        return place
+
     steps = (
-        df.select(*by, block_of, F.col(order).alias(at), F.col(value).alias(step))
-        .groupBy(*by, "__block", at).agg(F.sum(step).alias(step))
-    )
-    earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        steps.groupBy(*by, "__block").agg(F.sum(step).alias(step))
-        .select(*by, "__block", F.lit(None).alias(at), F.sum(step).over(earlier).alias(step))
-        .filter(F.col(step).isNotNull())
+        df.select(*by, F.col(order).alias(_AT), F.col(value).alias(_STEP))
+        .groupBy(*by, _AT).agg(F.sum(_STEP).alias(_STEP))
     )
-    lines = steps.withColumn(carried, F.lit(False)).unionByName(carries.withColumn(carried, F.lit(True)))
-    within = Window.partitionBy(*by, "__block").orderBy(F.desc(carried), at)
-    totals = lines.withColumn(name, F.sum(step).over(within)).filter(~F.col(carried))
-    return totals.select(*by, F.col(at).alias(order), name)
+    carries = None
+    for level in range(levels - 1, -1, -1):
+        top = level == levels - 1
+        here = F.col(_AT) if level == 0 else block_of(level)
+        above = F.lit(0).cast("long") if top else block_of(level + 1)
+        rows = steps.select(*by, above.alias(_ABOVE), here.alias(_HERE), _STEP)
+        if level:
+            rows = rows.groupBy(*by, _ABOVE, _HERE).agg(F.sum(_STEP).alias(_STEP))
+        lines = rows.withColumn(_CARRIED, F.lit(False))
+        if not top:
+            # What precedes a block goes before its first row.
+            first = carries.select(*by, F.col(_HERE).alias(_ABOVE), F.lit(None).cast(rows.schema[_HERE].dataType).alias(_HERE), _STEP, F.lit(True).alias(_CARRIED))
+            lines = lines.unionByName(first)
+        within = Window.partitionBy(*by, *([] if top else [_ABOVE])).orderBy(F.desc(_CARRIED), _HERE)
+        if level == 0:
+            totals = lines.withColumn(name, F.sum(_STEP).over(within)).filter(~F.col(_CARRIED))
+            return totals.select(*by, F.col(_HERE).alias(order), name)
+        earlier = F.sum(_STEP).over(within.rowsBetween(Window.unboundedPreceding, -1))
+        carries = lines.withColumn(_STEP, earlier).filter(~F.col(_CARRIED) & F.col(_STEP).isNotNull())
 
 
-def _position(df: DataFrame, order: str) -> Column:
+def _position(df: DataFrame, order: str, c: Column) -> Column:
     kind = df.schema[order].dataType
     if isinstance(kind, DateType):
-        return F.unix_date(order)
+        return F.unix_date(c)
     if isinstance(kind, IntegralType):
-        return F.col(order)
+        return c
     raise TypeError(f"running_total orders by an integer or a date, not {kind.simpleString()}")

@@ -408,6 +408,21 @@ def density200(spark, sf_dir):
     return curve.withColumn("density", F.round("density", 9))
 
 
+@query("""
+    select cast(g.i as int) as i, s.lo + (s.hi - s.lo) * g.i / 49 as x,
+           round(sum(v.n * exp(-0.5 * power((s.lo + (s.hi - s.lo) * g.i / 49.0 - v.x) / s.h, 2)))
+                 / (max(s.c) * max(s.h) * sqrt(2 * pi())), 12) as density
+    from (select o_totalprice as x, count(*) as n from orders group by o_totalprice) v
+    cross join (select min(o_totalprice) lo, max(o_totalprice) hi, cast(count(*) as double) c,
+                       stddev_samp(o_totalprice) * power(cast(count(*) as double), -0.2) h from orders) s
+    cross join (select range as i from range(0, 50)) g group by g.i, s.lo, s.hi
+""")
+def density_of_prices(spark, sf_dir):
+    """Over a column in which nearly every value is its own."""
+    curve = density(given(spark, sf_dir, "orders"), "o_totalprice", points=50)
+    return curve.withColumn("density", F.round("density", 12))
+
+
 @query(" union all ".join(f"select '{t}' as \"table\", count(*) as rows from {t}" for t in GIVEN))
 def table_row_counts(spark, sf_dir):
     return row_counts({t: given(spark, sf_dir, t) for t in GIVEN})

@@ -1,5 +1,6 @@
 import datetime
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -155,3 +156,28 @@ def test_density_matches_numpy(spark, size):
 
 def test_density_without_spread_is_empty(spark):
     assert density(spark.createDataFrame([(4,), (4,)], "v int"), "v").count() == 0
+
+
+def test_running_total_over_sparse_longs_has_small_windows(spark):
+    """A third of all rows in one group, whose order values leave nearly every block of values to itself."""
+    step = 1_000_003 * 7_000_001
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, 0, id) as k", f"(id - 30000) * {step} as o", "1 as v")
+    got = running_total(df, ["k"], "o", "v", "t", block=256)
+    hot = got.filter("k = 0")
+    assert hot.agg(F.max("t"), F.count("*")).first() == (20_000, 20_000)
+    assert hot.filter(f"t <> (o div {step} + 30000) div 3 + 1").count() == 0
+    # No window partition over more than its group's block: each Window of the plan but the top one has the block as a key.
+    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", got._jdf.queryExecution().optimizedPlan().toString())
+    assert len(windows) > 3 and sum("__above" not in keys for keys in windows) == 1
+
+
+def test_running_total_at_the_ends_of_long(spark):
+    ends = [-(2**63), -(2**63) + 1, -1, 0, 1, 2**63 - 2, 2**63 - 1]
+    df = spark.createDataFrame([(o, 1) for o in ends], "o long, v int")
+    got = sorted((r.o, r.t) for r in running_total(df, [], "o", "v", "t").collect())
+    assert got == [(o, i + 1) for i, o in enumerate(ends)]
+
+
+def test_density_shuffles_grid_sums_only(spark):
+    plan = density(spark.range(1000).selectExpr("cast(id as double) as v"), "v", 20)._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange hashpartitioning\((.*?)#", plan) == ["i"]
