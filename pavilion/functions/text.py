@@ -40,6 +40,10 @@ def map_spellings(c: Column, spellings: list[str]) -> Column:
     return result
 
 
+# Fixed value: what a normalised name leaves out, here in runs to save replacements.
+_NOT_ALPHANUMERIC = "[^a-zA-Z0-9]+"
+
+
 def normalise_name(c: Column) -> Column:
     """Strip everything but ASCII letters and digits, then lower-case."""
-    return F.lower(F.regexp_replace(c, "[^0-9A-Za-z]+", ""))
+    return F.lower(F.regexp_replace(c, _NOT_ALPHANUMERIC, ""))

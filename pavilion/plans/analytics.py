@@ -20,6 +20,7 @@ from pavilion.sources.schemas import BALL_BY_BALL, MATCH, PLAYER, PLAYER_MATCH,
 
 Tables = Mapping[str, DataFrame]
 
+# The columns that the totals of extras and dismissals are over.
 EXTRAS = ("wides", "noballs", "byes", "legbyes", "penalty", "extra_runs")
 DISMISSALS = (
     "caught", "bowled", "run_out", "lbw", "retired_hurt", "stumped", "caught_and_bowled", "hit_wicket",
@@ -47,7 +48,7 @@ def innings_scores(tables: Tables, k: int | None = None) -> DataFrame:
     return ranked(scores, [F.desc("total_runs")], keys, k)
 
 
-def cumulative_runs(tables: Tables, k: int | None = 10, keep_innings: bool = False) -> DataFrame:
+def cumulative_runs(tables: Tables, k: int | None = None, keep_innings: bool = False) -> DataFrame:
     """Runs up to the end of each over, highest first.
 
     Without the innings, two innings that stand level after the same over are one row.
@@ -104,7 +105,7 @@ def earliest_match(tables: Tables) -> DataFrame:
     return ranked(dated.select("match_id", "match_date_cleaned", "venue_name"), *order, 1)
 
 
-def high_impact_balls(tables: Tables, k: int | None = 10, wicket_value: int = 0) -> DataFrame:
+def high_impact_balls(tables: Tables, k: int | None = None, wicket_value: int = 0) -> DataFrame:
     """Valid deliveries flagged by total runs and wicket, most runs first."""
     total = F.col("extra_runs") + F.col("runs_scored")
     flagged = valid_deliveries(tables).select(
@@ -255,7 +256,10 @@ def years_since_season(tables: Tables, as_of: Column | None = None) -> DataFrame
 
 
 def years_since_debut(tables: Tables, as_of: Column | None = None) -> DataFrame:
-    """Players in matches with the years from the player's first season to ``as_of``."""
+    """Players in matches with the years from the player's first season to ``as_of``.
+
+    Null for a player without an id: which rows are the same player's cannot be told.
+    """
     day = F.current_date() if as_of is None else as_of
     played = tables[PLAYER_MATCH]
     debuts = played.groupBy("player_id").agg(F.min("season_year").alias("__debut"))

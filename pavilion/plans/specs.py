@@ -23,6 +23,7 @@ TEAM_NAMES = {
     "13": "Gujarat Lions",
 }
 
+# The columns of each table that are keys, strings, integers and dates.
 _SPECS = (
     CleanSpec(
         BALL_BY_BALL,

@@ -1,6 +1,7 @@
 """The named analytics and the cleaning on the star tables."""
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -56,11 +57,11 @@ _RUNNING = f"""select match_id, innings_no, over_id, cast(sum(runs_scored) over
     partition by match_id, innings_no order by over_id) as bigint) as running_total_runs from {_VALID}"""
 _analytic("cumulative_runs", f"""
     select distinct match_id, over_id, running_total_runs from ({_RUNNING})
-    order by running_total_runs desc nulls last, match_id, over_id limit 10""")
+    order by running_total_runs desc nulls last, match_id, over_id limit 10""", k=10)
 _analytic("cumulative_runs_all", f"select distinct match_id, over_id, running_total_runs from ({_RUNNING})",
-          analytics.cumulative_runs, k=None)
+          analytics.cumulative_runs)
 _analytic("cumulative_runs_by_innings", f"select distinct match_id, innings_no, over_id, running_total_runs from ({_RUNNING})",
-          analytics.cumulative_runs, k=None, keep_innings=True)
+          analytics.cumulative_runs, keep_innings=True)
 _BY_SEASON = f"""select striker, season, cast(sum(runs_scored) as bigint) as total_runs
     from {_VALID} group by striker, season"""
 _analytic("season_scorers", f"""
@@ -91,9 +92,9 @@ _analytic("earliest_match", """
 _IMPACT = """select match_id, striker, extra_runs + runs_scored as total_runs_on_high_impact_ball,
     case when extra_runs + runs_scored > 6 or bowler_wicket = {0} then true else false end as high_impact from """ + _VALID
 _analytic("high_impact_balls", f"""{_IMPACT.format(0)}
-    order by total_runs_on_high_impact_ball desc nulls last, match_id, striker, high_impact limit 10""")
-_analytic("high_impact_all", _IMPACT.format(0), analytics.high_impact_balls, k=None)
-_analytic("high_impact_wickets", _IMPACT.format(1), analytics.high_impact_balls, k=None, wicket_value=1)
+    order by total_runs_on_high_impact_ball desc nulls last, match_id, striker, high_impact limit 10""", k=10)
+_analytic("high_impact_all", _IMPACT.format(0), analytics.high_impact_balls)
+_analytic("high_impact_wickets", _IMPACT.format(1), analytics.high_impact_balls, wicket_value=1)
 _analytic("runs_per_ball", _counts("ball", "runs_scored"))
 _analytic("extras_totals", _sums("ball", EXTRAS, "extra_type"))
 _analytic("dismissal_totals", _sums("ball", DISMISSALS, "dismissal_type"))
@@ -160,7 +161,8 @@ _analytic("bowling_skills", """
 _analytic("years_since_season", """
     select *, cast(year(date '2024-01-01' - season_year) as int) as "years_Since_debut" from squad""", dated=True)
 _analytic("years_since_debut", """
-    select *, 2024 - min(season_year) over (partition by player_id) as "years_Since_debut" from squad""", dated=True)
+    select *, case when player_id is not null then 2024 - min(season_year) over (partition by player_id) end as "years_Since_debut"
+    from squad""", dated=True)
 _analytic("roles", _counts("squad", "role_desc"))
 _analytic("top_captains", _top("squad", "player_name", "player_captain = 'Y'"))
 _analytic("top_awards", _top("squad", "player_name", "is_manofthematch = 1"))
@@ -170,7 +172,7 @@ _analytic("teams", _counts("team", "team_name"))
 # The cleaning
 
 def _cleaned_sql(spec, columns):
-    """The cleaning of a star table, written out for DuckDB."""
+    """The cleaning of a star table, written out for DuckDB, with every option of its spec."""
     codes = "case {0} " + " ".join(f"when '{k}' then '{v}'" for k, v in TEAM_NAMES.items()) + " else {0} end"
 
     def filled(c):
@@ -178,16 +180,20 @@ def _cleaned_sql(spec, columns):
         if c in spec.integers:
             return f"coalesce({c}, 0)"
         if c in spec.strings:
-            return f"case when {coded} is null or trim({coded}) = '' then 'BLANK' else {coded} end"
+            return f"case when {coded} is null or trim({coded}) = '' then '{spec.placeholder}' else {coded} end"
+        if c in spec.booleans:
+            return f"coalesce(lower(cast({c} as varchar)) in ('true', '1'), false)"
         return c
 
     def finished(c):
         if c in spec.strings:
-            tidy = f"regexp_replace(trim(lower({c})), ' +', ' ', 'g')"
-            return TITLE.format(tidy)
+            title = TITLE.format(f"regexp_replace(trim(lower({c})), ' +', ' ', 'g')")
+            kept = " ".join(f"when '{word.lower()}' then '{word}'" for word in spec.keep_spelling)
+            return f"case lower({title}) {kept} else {title} end" if kept else title
         return f"trim({c})" if c in spec.dates else c
 
     def day(c):
+        c = f"trim({c})" if spec.trim_before_parse else c
         return (
             f"cast(case when regexp_matches({c}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') then try_strptime({c}, '%m/%d/%Y')"
             f" when regexp_matches({c}, '^\\d{{2}}-\\d{{2}}-\\d{{4}}$') then try_strptime({c}, '%d-%m-%Y') end as date)"
@@ -195,13 +201,15 @@ def _cleaned_sql(spec, columns):
 
     names = columns + [f"{c}_cleaned" for c in spec.dates]
     rest = ", ".join(f"{c} nulls first" for c in names if c not in spec.dedup_keys)
-    keyed = " and ".join(f"{k} is not null" for k in spec.keys)
+    keyed = " and ".join(f"{k} is not null" for k in spec.keys) or "true"
     first = ", ".join(f"{filled(c)} as {c}" for c in columns)
+    seen = f"where coalesce({', '.join(f'cast({c} as varchar)' for c in columns)}) is not null" if spec.null_drop_first else ""
+    order = ", ".join([*spec.dedup_order, rest])
     second = ", ".join([f"{finished(c)} as {c}" for c in columns] + [f"{day(c)} as {c}_cleaned" for c in spec.dates])
     return f"""
         select {", ".join(names)} from (
-            select *, row_number() over (partition by {", ".join(spec.dedup_keys)} order by {rest}) as place
-            from (select {second} from (select {first} from ({star_sql(spec.table)})) where {keyed}))
+            select *, row_number() over (partition by {", ".join(spec.dedup_keys)} order by {order}) as place
+            from (select {second} from (select {first} from ({star_sql(spec.table)}) {seen}) where {keyed}))
         where place = 1"""
 
 
@@ -237,6 +245,18 @@ def _blank_table(spec, spark, sf_dir):
     return blank_counts(star_table(spark, sf_dir, spec.table), spec.strings)
 
 
+# One spec for each option that the five tables leave at its default.
+_OPTIONS = {
+    "clean_null_drop_first": replace(SPECS[TEAM], keys=(), dedup_keys=("team_id", "team_name"), null_drop_first=True),
+    "clean_trim_before_parse": replace(SPECS[MATCH], trim_before_parse=True),
+    "clean_booleans": replace(SPECS[PLAYER_MATCH], booleans=("is_manofthematch", "isplayers_team_won")),
+    "clean_keep_spelling": replace(SPECS[TEAM], keep_spelling=("India XI", "UNITED KINGDOM XI")),
+    "clean_placeholder": replace(SPECS[PLAYER], placeholder="not known"),
+    "clean_dedup_order": replace(BALL_BY_BALL_PER_INNINGS, dedup_keys=("match_id", "innings_no"), dedup_order=("runs_scored", "striker", "non_striker")),
+}
+for _label, _spec in _OPTIONS.items():
+    add(_label, partial(_clean_table, _spec), _cleaned_sql(_spec, [name for name, _ in projections(_spec.table)]))
+
 for _spec, _label in [*((s, s.table.lower()) for s in SPECS.values()), (BALL_BY_BALL_PER_INNINGS, "ball_by_ball_per_innings")]:
     _columns = [name for name, _ in projections(_spec.table)]
     add(f"clean_{_label}", partial(_clean_table, _spec), _cleaned_sql(_spec, _columns))

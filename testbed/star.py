@@ -131,7 +131,7 @@ STAR: dict[str, tuple[str, dict[str, str]]] = {
         "player_match_sk": "cast(event_id as int)",
         "playermatch_key": "case when event_type = 'error' and value > 100 then null else cast(user_id as string) || '/' || event_type end",
         "match_id": "cast(event_id as int)",
-        "player_id": "cast(user_id as int)",
+        "player_id": "case when user_id % 9 = 4 then null else cast(user_id as int) end",
         "player_name": "'player   ' || cast(user_id as string)",
         "dob": "case event_type when 'view' then mdy when 'click' then dmy end",
         "batting_hand": "case event_type when 'view' then ' ' else 'RIGHT-hand' end",
@@ -146,9 +146,9 @@ STAR: dict[str, tuple[str, dict[str, str]]] = {
         "player_keeper": "case event_type when 'view' then 'y' end",
     }),
     TEAM: ("nation", {
-        "team_sk": "n_nationkey",
+        "team_sk": "nullif(n_nationkey, 24)",
         "team_id": "nullif(n_nationkey, 24)",
-        "team_name": "case when n_regionkey = 0 then ' ' else lower(n_name) || '  XI' end",
+        "team_name": "case when n_nationkey = 24 then null when n_regionkey = 0 then ' ' else lower(n_name) || '  XI' end",
     }),
 }
 

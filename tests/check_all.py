@@ -19,6 +19,8 @@ spark = (
 spark.sparkContext.setLogLevel("ERROR")
 con, oracles, bad = connect(folder), oracle_sql(), 0
 for name, run in queries().items():
+    if name not in oracles:
+        continue
     if wanted and name not in wanted:
         continue
     start = time.time()
