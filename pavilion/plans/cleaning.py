@@ -7,13 +7,14 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pavilion.functions import (
     DEFAULT_DATE_FORMATS, fill_blank, is_blank, is_true, map_codes, normalise_name, parse_date,
     standardise, whole_or_zero,
 )
 from pavilion.operators import drop_empty_rows, keep_one, require_keys, totals_by_column
-from pavilion.sources import read_table, write_table
+from pavilion.sources import UNREADABLE, read_table, typed, write_table
 
 
 @dataclass(frozen=True)
@@ -95,10 +96,12 @@ def clean_audit(df: DataFrame, spec: CleanSpec, cleaned: DataFrame | None = None
 
     The rows left by the duplicate removal are counted in ``cleaned`` when the written
     table is given (Parquet answers that from its footers); otherwise the distinct
-    keys are counted, which shuffles them.
+    keys are counted, which shuffles them. Where ``df`` says how many cells of a row could not be
+    read (``sources.typed``), a last line ``unreadable`` has the rows with such cells; none is removed for it.
     """
     search = spec.null_drop_first or not _fills(df, spec)
-    rows = _filled(df.withColumn("__seen", _any_present(df.columns) if search else F.lit(True)), spec)
+    columns = [c for c in df.columns if c != UNREADABLE]
+    rows = _filled(df.withColumn("__seen", _any_present(columns) if search else F.lit(True)), spec)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in spec.keys], F.lit(True))
     marked = _finished(rows.withColumn("__keyed", F.col("__seen") & keyed), spec)
 
@@ -112,6 +115,8 @@ def clean_audit(df: DataFrame, spec: CleanSpec, cleaned: DataFrame | None = None
         counts["dedup"] = counts["key_filter"]
     elif cleaned is None:
         counts["dedup"] = F.count_distinct(F.when(F.col("__keyed"), F.struct(*spec.dedup_keys)))
+    if UNREADABLE in df.columns:
+        counts["unreadable"] = F.count_if(F.col(UNREADABLE) > 0)
     totals = marked.agg(*[c.alias(step) for step, c in counts.items()])
     if "dedup" not in counts:
         left = cleaned.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -122,6 +127,8 @@ def clean_audit(df: DataFrame, spec: CleanSpec, cleaned: DataFrame | None = None
         F.struct(F.lit(step).alias("step"), F.col(step).alias("rows"), (F.col(before) - F.col(step)).alias("removed"))
         for step, before in zip(steps, ["initial"] + steps)
     ]
+    if "unreadable" in counts:
+        pairs.append(F.struct(F.lit("unreadable").alias("step"), F.col("unreadable").alias("rows"), F.lit(0).cast("long").alias("removed")))
     return totals.select(F.lit(spec.table).alias("table"), F.inline(F.array(*pairs)))
 
 
@@ -137,16 +144,25 @@ def run_cleaning(
     specs: Mapping[str, CleanSpec],
     target: str,
     fmt: str = "parquet",
-    compact: bool = False,
+    schemas: Mapping[str, StructType] | None = None,
 ) -> DataFrame:
-    """Clean and write every table to ``<target>/<table>``; returns the audits of all."""
+    """Clean and write every table to ``<target>/<table>``; returns the audits of all.
+
+    With ``schemas`` the tables hold text, are read under these types, and what could not be
+    read is in the audit. A raw table is scanned twice, to write and to audit, and must not change in between. Counting
+    while writing (``DataFrame.observe``) would save a scan but not be right when executors are lost: the steps
+    before the duplicate removal run in map tasks, and Spark adds up the counts of every map task that
+    ends, those that run again for lost shuffle files included.
+    """
     audits = []
     for name, spec in specs.items():
-        path = f"{target}/{name}"
-        cleaned = clean(tables[name], spec)
-        write_table(cleaned, path, fmt, compact=compact)
-        audits.append(clean_audit(tables[name], spec, read_table(spark, path, fmt, cleaned.schema)))
-    return reduce(DataFrame.unionByName, audits)
+        path, raw = f"{target}/{name}", tables[name]
+        cleaned = clean(typed(raw, schemas[name]) if schemas else raw, spec)
+        write_table(cleaned, path, fmt)
+        written = read_table(spark, path, fmt, cleaned.schema, multi_line=fmt == "csv")
+        audits.append(clean_audit(typed(raw, schemas[name], count=True) if schemas else raw, spec, written))
+    none = spark.createDataFrame([], "table string, step string, rows long, removed long")
+    return reduce(DataFrame.unionByName, audits, none)
 
 
 def _any_present(columns: list[str]) -> Column:

@@ -1,58 +1,92 @@
-"""The three jobs, each from one folder of tables to another; stages meet in the file system only."""
+"""The three jobs, each from one folder of tables to another; stages meet in the file system only.
+
+Every job goes on with the tables that open, and returns why the others did not.
+"""
 from __future__ import annotations
 
-from collections.abc import Callable
+import inspect
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pavilion.plans.analytics import ANALYTICS, Tables
-from pavilion.plans.cleaning import run_cleaning
+from pavilion.plans.cleaning import CleanSpec, run_cleaning
 from pavilion.plans.specs import SPECS
-from pavilion.sources import SCHEMAS, load_tables, register_views, write_table
+from pavilion.sources import SCHEMAS, as_text, load_tables, register_views, typed, write_table
 from pavilion.sources.schemas import PLAYER_MATCH
 
 # Raw file names that differ from the table name.
 _RAW_NAMES = {PLAYER_MATCH: "Player_match"}
 
+Errors = dict[str, str]
+
+
+class Opened(dict):
+    """Tables by name; asking for one that did not open says why."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], errors: Errors):
+        super().__init__(tables)
+        self.errors = errors
 
-def load_raw(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The raw CSV tables under their declared schemas."""
+    def __missing__(self, name: str) -> DataFrame:
+        raise LookupError(f"{name} did not open: {self.errors.get(name, 'no such table')}")
+
+
+def load_text(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dict[str, DataFrame], Errors]:
+    """The raw CSV tables, every cell as its text."""
     paths = {name: f"{base}/{_RAW_NAMES.get(name, name)}{suffix}" for name in SCHEMAS}
-    return load_tables(spark, paths, "csv", SCHEMAS)
+    return load_tables(spark, paths, "csv", {name: as_text(schema) for name, schema in SCHEMAS.items()})
+
+
+def load_raw(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dict[str, DataFrame], Errors]:
+    """The raw CSV tables under their declared types."""
+    tables, errors = load_text(spark, base, suffix)
+    return {name: typed(df, SCHEMAS[name]) for name, df in tables.items()}, errors
 
 
-def ingest(spark: SparkSession, source: str, target: str) -> dict[str, str]:
-    """Copy the raw tables in full, replacing what was there; returns the tables that failed.
+def ingest(spark: SparkSession, source: str, target: str) -> Errors:
+    """Copy the raw tables in full, cell by cell as text, replacing what was there; returns the tables that failed.
 
     Spark's CSV writer trims each value, so a date kept from parsing by a leading space
     is readable in the copy.
     """
     _keep_apart(source, target)
-    tables, errors = load_raw(spark, source)
+    tables, errors = load_text(spark, source)
     for name, df in tables.items():
-        write_table(df, f"{target}/{_RAW_NAMES.get(name, name)}", "csv", compact=True)
+        write_table(df, f"{target}/{_RAW_NAMES.get(name, name)}", "csv")
     return errors
 
 
-def clean_all(spark: SparkSession, raw: str, target: str, fmt: str = "parquet", suffix: str = "") -> DataFrame:
-    """Clean every raw table into ``target``; returns the audit."""
+def clean_all(
+    spark: SparkSession,
+    raw: str,
+    target: str,
+    fmt: str = "parquet",
+    suffix: str = "",
+    specs: Mapping[str, CleanSpec] = SPECS,
+) -> tuple[DataFrame, Errors]:
+    """Clean every raw table that ``specs`` name into ``target``; returns the audit and the tables that failed."""
     _keep_apart(raw, target)
-    tables, errors = load_raw(spark, raw, suffix)
-    specs = {name: spec for name, spec in SPECS.items() if name not in errors}
-    return run_cleaning(spark, tables, specs, target, fmt, compact=True)
+    tables, errors = load_text(spark, raw, suffix)
+    found = {name: spec for name, spec in specs.items() if name in tables}
+    return run_cleaning(spark, tables, found, target, fmt, SCHEMAS), {name: e for name, e in errors.items() if name in specs}
 
 
-def load_clean(spark: SparkSession, base: str) -> Tables:
-    """The cleaned Parquet tables, also registered as views."""
-    tables, _ = load_tables(spark, {name: f"{base}/{name}" for name in SCHEMAS})
+def load_clean(spark: SparkSession, base: str) -> tuple[Tables, Errors]:
+    """The cleaned Parquet tables, also registered as views, and those that failed."""
+    tables, errors = load_tables(spark, {name: f"{base}/{name}" for name in SCHEMAS})
     register_views(tables)
-    return tables
+    return Opened(tables, errors), errors
 
 
-def report(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One named analytic over the cleaned tables."""
-    analytic: Callable[[Tables], DataFrame] = ANALYTICS[name]
-    return analytic(load_clean(spark, base))
+def report(spark: SparkSession, base: str, name: str, k: int | None = None) -> DataFrame:
+    """One named analytic over the cleaned tables, in full or its first ``k`` rows."""
+    analytic: Callable[..., DataFrame] = ANALYTICS[name]
+    tables, _ = load_clean(spark, base)
+    if "k" in inspect.signature(analytic).parameters:
+        return analytic(tables, k=k)
+    found = analytic(tables)
+    return found if k is None else found.limit(k)
 
 
 def _keep_apart(source: str, target: str) -> None:

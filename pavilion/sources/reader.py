@@ -3,12 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import add
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from pavilion.functions import is_blank, whole_number
 from pavilion.operators.groups import totals_by_column
 
 
@@ -18,17 +20,19 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
     corrupt_column: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan a Parquet or CSV table; any path the session's file systems know will do.
 
     A declared CSV schema binds by position and turns unreadable cells into null;
     ``corrupt_column`` then keeps the source line of such rows. Without a schema a
     CSV's types are inferred, which costs a pass over the data: declare one for
-    anything large. Parquet carries its own schema.
+    anything large. Parquet carries its own schema. ``multi_line`` reads CSV values
+    that hold line ends, one task per file.
     """
     reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("multiLine", multi_line)
         if schema is None:
             reader = reader.option("inferSchema", True)
         elif corrupt_column:
@@ -75,10 +79,31 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def as_text(schema: StructType) -> StructType:
+    """The same columns, all as text: a CSV read with it loses no cell."""
+    return StructType([StructField(f.name, StringType()) for f in schema])
+
+
+#: How many of a row's cells ``typed`` could not read.
+UNREADABLE = "__unreadable"
+
+
+def typed(df: DataFrame, schema: StructType, count: bool = False) -> DataFrame:
+    """A table read as text under its declared types: whole numbers are read, anything else in an int column is null.
+
+    With ``count`` the column ``UNREADABLE`` says how many cells of a row held something else.
+    """
+    ints = [f.name for f in schema if isinstance(f.dataType, IntegerType)]
+    columns = [(whole_number(F.col(f.name)) if f.name in ints else F.col(f.name)).alias(f.name) for f in schema]
+    if count:
+        lost = [(whole_number(F.col(c)).isNull() & ~is_blank(F.col(c))).cast("int") for c in ints]
+        columns.append(reduce(add, lost, F.lit(0)).alias(UNREADABLE))
+    return df.select(*columns)
+
+
 def cast_losses(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Per int column of a CSV, how many non-empty cells a declared read turns into null."""
-    as_text = StructType([StructField(f.name, StringType()) for f in schema])
-    raw = read_table(spark, path, "csv", as_text)
+    raw = read_table(spark, path, "csv", as_text(schema))
     ints = [f.name for f in schema if isinstance(f.dataType, IntegerType)]
     lost = [
         F.when(F.col(c).rlike(r"^[+-]?[0-9]+$") & F.col(c).try_cast("int").isNotNull(), 0)

@@ -17,8 +17,8 @@ def write_table(
     """Write a table, by default as Parquet in place of what was there.
 
     ``path`` must not be one that ``df`` reads from: it is emptied before the rows are read.
-    ``compact`` asks Spark to even out the output: a small table becomes a single
-    file, a large one as many as it needs. The same happens for ``partition_by``,
+    ``compact`` asks Spark to even out the output, at the price of a shuffle: a small table becomes a
+    single file, a large one as many as it needs. The same happens for ``partition_by``,
     where it also splits a value that holds far more rows than the others, so no
     option ever sends a whole table through one task.
     """

@@ -207,14 +207,14 @@ def filled_integers(spark, sf_dir):
 
 
 @query("""
-    select l_orderkey, l_linenumber, coalesce(try_cast(raw as int), 0) as n
-    from (select l_orderkey, l_linenumber, case l_linenumber when 1 then ' 12 ' when 2 then '' when 3 then null
-                 when 4 then 'x7' else cast(l_linenumber as string) end as raw from lineitem) t
+    select l_orderkey, l_linenumber, coalesce(case when number = floor(number) then cast(number as int) end, 0) as n
+    from (select l_orderkey, l_linenumber, try_cast(case l_linenumber when 1 then ' 12 ' when 2 then '' when 3 then null
+                 when 4 then 'x7' when 5 then '2.0' when 6 then '1e3' else '2.5' end as double) as number from lineitem) t
 """)
 def filled_integer_text(spark, sf_dir):
     raw = F.expr(
         "case l_linenumber when 1 then ' 12 ' when 2 then '' when 3 then null when 4 then 'x7'"
-        " else cast(l_linenumber as string) end"
+        " when 5 then '2.0' when 6 then '1e3' else '2.5' end"
     )
     rows = given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw"))
     return rows.select("l_orderkey", "l_linenumber", whole_or_zero(F.col("raw"), rows.schema["raw"].dataType).alias("n"))

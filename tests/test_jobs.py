@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from pavilion.plans import analytics
 from pavilion.plans.analytics import ANALYTICS
-from pavilion.plans.cleaning import clean
-from pavilion.plans.jobs import clean_all, ingest, load_clean, load_raw, report
-from pavilion.plans.specs import SPECS
-from pavilion.sources import SCHEMAS
+from pavilion.__main__ import main
+from pavilion.plans.cleaning import clean, run_cleaning
+from pavilion.plans.jobs import clean_all, ingest, load_clean, load_raw, load_text, report
+from pavilion.plans.specs import BALL_BY_BALL_PER_INNINGS, SPECS
+from pavilion.sources import SCHEMAS, typed
 from pavilion.sources.schemas import BALL_BY_BALL, MATCH
 from tests.cricket import write_raw
 
@@ -19,13 +20,17 @@ def folders(spark, tmp_path_factory):
     source = write_raw(tmp_path_factory.mktemp("source"))
     raw, cleaned = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("clean"))
     assert ingest(spark, source, raw) == {}
-    audit = {(r.table, r.step): (r.rows, r.removed) for r in clean_all(spark, raw, cleaned).collect()}
-    return {"clean": cleaned, "audit": audit, "source": source}
+    audit, errors = clean_all(spark, raw, cleaned)
+    assert errors == {}
+    audit = {(r.table, r.step): (r.rows, r.removed) for r in audit.collect()}
+    return {"clean": cleaned, "audit": audit, "source": source, "raw": raw}
 
 
 @pytest.fixture(scope="module")
 def tables(spark, folders):
-    return load_clean(spark, folders["clean"])
+    tables, errors = load_clean(spark, folders["clean"])
+    assert errors == {}
+    return tables
 
 
 def lines(df):
@@ -158,6 +163,75 @@ def test_no_job_overwrites_its_source(spark, folders):
 
 
 def test_csv_can_hold_the_cleaned_tables(spark, folders, tmp_path):
-    audit = clean_all(spark, folders["source"], str(tmp_path), "csv", suffix=".csv")
+    audit, errors = clean_all(spark, folders["source"], str(tmp_path), "csv", suffix=".csv")
+    assert errors == {}
     assert audit.filter("step = 'dedup'").agg(F.sum("rows")).first()[0] == 180 + 4 + 4 + 12 + 13
     assert len(SCHEMAS) == audit.select("table").distinct().count()
+
+
+def test_a_failed_table_is_named(spark, folders, tmp_path):
+    import shutil
+
+    partial = tmp_path / "raw"
+    shutil.copytree(folders["raw"], partial, ignore=shutil.ignore_patterns("Match"))
+    audit, errors = clean_all(spark, str(partial), str(tmp_path / "clean"))
+    assert list(errors) == ["Match"] and audit.select("table").distinct().count() == 4
+    tables, errors = load_clean(spark, str(tmp_path / "clean"))
+    assert list(errors) == ["Match"] and "Match" in errors["Match"]
+    with pytest.raises(LookupError, match="Match did not open"):
+        analytics.win_margins(tables)
+    audit, errors = clean_all(spark, str(tmp_path / "nowhere"), str(tmp_path / "none"))
+    assert len(errors) == 5 and audit.count() == 0
+
+
+def test_cells_that_cannot_be_read_are_counted(spark, tmp_path):
+    source, raw = tmp_path / "source", tmp_path / "raw"
+    source.mkdir()
+    write_raw(source)
+    rows = ["team_sk,team_id,team_name", "1,2.0,a", "2,x, b ", "3, 4,c", "4,5.5,", '5,1e1,"d"']
+    (source / "Team.csv").write_text("\n".join(rows) + "\n")
+    assert ingest(spark, str(source), str(raw)) == {}
+    copied = spark.read.option("header", True).csv(str(raw / "Team"))
+    assert sorted(r.team_id for r in copied.collect()) == ["1e1", "2.0", "4", "5.5", "x"]
+    audit, _ = clean_all(spark, str(raw), str(tmp_path / "clean"), specs={"Team": SPECS["Team"]})
+    assert {r.step: r.rows for r in audit.collect()} == {
+        "initial": 5, "null_drop": 5, "key_filter": 3, "string_clean": 3, "date_conversion": 3, "dedup": 3, "unreadable": 2}
+    assert sorted(r.team_id for r in load_clean(spark, str(tmp_path / "clean"))[0]["Team"].collect()) == [2, 4, 10]
+
+
+def test_values_with_line_ends_survive_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, "two\nlines"), (2, 2, "one")], SCHEMAS["Team"])
+    audit = run_cleaning(spark, {"Team": df}, {"Team": SPECS["Team"]}, str(tmp_path), "csv")
+    assert audit.filter("step = 'dedup'").first()["rows"] == 2
+
+
+def test_specs_are_chosen(spark, folders, tmp_path):
+    specs = SPECS | {BALL_BY_BALL: BALL_BY_BALL_PER_INNINGS}
+    audit, _ = clean_all(spark, folders["raw"], str(tmp_path), specs=specs)
+    assert audit.filter(f"table = '{BALL_BY_BALL}' and step = 'dedup'").first()["rows"] == 180
+
+
+def test_jobs_shuffle_only_to_remove_duplicates(spark, folders):
+    texts, _ = load_text(spark, folders["source"])
+    for name, df in texts.items():
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        plan = clean(typed(df, SCHEMAS[name]), SPECS[name])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1
+
+
+def test_command_line(spark, folders, tmp_path, capsys):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "clean")
+    assert main(["ingest", folders["source"], raw]) == 0
+    assert main(["clean", raw, out]) == 0
+    audit = [line for line in capsys.readouterr().out.splitlines() if "\t" in line]
+    assert len(audit) == 1 + 5 * 7 and sum(line.startswith("Team\t") for line in audit) == 7
+    assert main(["report", out, "innings_scores"]) == 0
+    assert len([line for line in capsys.readouterr().out.splitlines() if "\t" in line]) == 1 + 10
+    assert main(["report", out, "innings_scores", "-k", "3", "--out", str(tmp_path / "top")]) == 0
+    assert spark.read.parquet(str(tmp_path / "top")).count() == 3
+    (tmp_path / "raw" / "Match").rename(tmp_path / "elsewhere")
+    assert main(["clean", raw, str(tmp_path / "part")]) == 1
+    assert "Match: " in capsys.readouterr().err
+    assert main(["report", str(tmp_path / "part"), "win_margins"]) == 1
+    assert "Match did not open" in capsys.readouterr().err
+    assert main(["ingest", str(tmp_path / "nowhere"), str(tmp_path / "x")]) == 1
