@@ -61,8 +61,13 @@ def flag_booleans(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def standardise_strings(df: DataFrame, columns: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Lower, trim, collapse spaces, title-case."""
-    return df.withColumns({c: standardise(F.col(c), keep) for c in columns})
+    """Lower, trim, collapse spaces, title-case.
+
+    The value to standardise goes in as the input of a lambda, which is computed once and whose body stays out
+    of the generated code. Otherwise the steps before, which are collapsed into the same expression, would be
+    repeated wherever it is named, and over many columns the method would be too long for the JVM to compile.
+    """
+    return df.withColumns({c: F.transform(F.array(c), lambda x: standardise(x, keep))[0] for c in columns})
 
 
 def parse_dates(
