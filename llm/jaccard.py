@@ -6,7 +6,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
 from llm.components import components
@@ -14,9 +13,10 @@ from llm.repeats import Rolling
 
 SLICE = 1 << 20  # bytes of text that a task reads at a time
 WORDS = 5
-BUCKETS, CHUNK = 1 << 18, 4096  # of the table of shingle frequencies: 2 MB, whatever the input
+BUCKETS, CHUNK = 1 << 22, 4096  # of the table of shingle frequencies: 16 MB, whatever the input
+HELD = 1 << 21  # shingles that a task gathers before it counts them
 SEEDS = (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47, 0xD1342543DE82EF95, 0xA0761D6478BD642F)  # of the other orders
-BROADCAST_ROWS = 1_000_000  # candidates whose texts are picked by broadcast; more are joined by shuffle
+BROADCAST_ROWS = 1_000_000  # rows of a table of two numbers that are broadcast; more are joined by shuffle
 
 
 def shingles(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +72,7 @@ def _classes(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _buckets(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(46)).astype(np.int64)
+    return (values >> np.uint64(42)).astype(np.int32)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -87,36 +87,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Shingles, sets and texts are told apart by 64-bit hashes. Links are found in two steps, both exact in what they link:
 
-    1. Under four orders of the shingles by hash, classes that share their first shingle are compared with one of
-       them. This joins most copies of one text into a component without looking at their pairs.
+    1. Under four orders of the shingles by hash, classes that share their first shingle are compared with the one
+       of them whose shingles are the most frequent, as a copy with few changes has. This joins most copies
+       of one text into a component without looking at their pairs.
     2. All remaining pairs: similar sets share a shingle among the first quarter (``n - ceil(3n / 4) + 1``) of either, under any global
        order. Candidates share one under the order that puts rare shingles first, lie in different components
        and pass the bounds on size and position. Before a candidate is verified, it must also share a prefix shingle
        under other global orders.
 
-    Frequencies come from a fixed table of 262,144 counters, filled by all documents and broadcast; as the order is by
+    Frequencies come from a fixed table of 4,194,304 counters, filled by all documents and broadcast; as the order is by
     counter, then hash, it is the same everywhere, so counters that shingles share cost time, never a link.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
-    read = checkpoint(rows.mapInArrow(lambda b: _members(b, id_type), f"doc_id {type_of(docs, 'doc_id')}, text_hash long, n_shingles long, class long, chunk int, counts binary"))
-    members = read.filter(F.col("chunk").isNull()).select("doc_id", "text_hash", "n_shingles", "class")
-    added = read.filter(F.col("chunk").isNotNull()).select("chunk", "counts").repartition("chunk").mapInArrow(_added, "chunk int, counts binary")
-    table = np.zeros(BUCKETS, np.int64)
+    members = checkpoint(rows.mapInArrow(_members, f"doc_id {type_of(docs, 'doc_id')}, text_hash long, n_shingles long, class long"))
+    added = rows.select("text").mapInArrow(_counted, "chunk int, counts binary").repartition("chunk").mapInArrow(_added, "chunk int, counts binary")
+    table = np.zeros(BUCKETS, np.int32)
     for row in added.collect():
-        table[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] += np.frombuffer(row["counts"], np.int64)
+        table[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.minimum(np.frombuffer(row["counts"], np.int64), 2**31 - 1)
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    prefixes = checkpoint(rows.mapInArrow(lambda b: _prefixes(b, shared), "class long, n int, prefix array<long>, least array<long>"))
     classes = checkpoint(members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash")))
 
-    firsts = prefixes.select("class", "n", F.posexplode("least").alias("order", "shingle"))
-    stars = firsts.groupBy("order", "shingle").agg(F.min(F.struct("class", "n")).alias("star"))
+    firsts = checkpoint(rows.select("text").mapInArrow(lambda b: _firsts(b, shared), "class long, n int, common double, least array<long>"))
+    firsts = firsts.select("class", "n", "common", F.posexplode("least").alias("order", "shingle"))
+    stars = firsts.groupBy("order", "shingle").agg(F.max(F.struct("common", "class", "n")).alias("star"))
     seeds = firsts.join(stars, ["order", "shingle"]).select(F.col("star.class").alias("a"), F.col("class").alias("b"), F.col("star.n").alias("m"), "n")
     seeds = seeds.filter("a <> b and 4 * least(m, n) >= 3 * greatest(m, n)").select("a", "b").distinct()
     links = checkpoint(_linked(checkpoint(seeds), classes, rows))
-    groups = components(links)
+    groups = components(links).withColumnRenamed("node", "class")
 
-    marked = prefixes.join(groups.withColumnRenamed("node", "class"), "class", "left")
+    prefixes = rows.select("text").mapInArrow(lambda b: _prefixes(b, shared), "class long, n int, prefix array<long>")
+    marked = prefixes.join(_broadcast(groups), "class", "left")
     tokens = marked.select("class", "n", F.coalesce("component", "class").alias("part"), F.posexplode("prefix").alias("place", "shingle"))
     x, y = tokens.alias("x"), tokens.alias("y")
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
@@ -125,42 +125,65 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                    & (4 * small >= 3 * large) & (7 * room >= 3 * (F.col("x.n") + F.col("y.n"))))
     pairs = checkpoint(pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
     more = checkpoint(_linked(pairs, classes, rows))
-    groups = components(links.union(more))
+    groups = components(links.union(more)).withColumnRenamed("node", "class")
 
-    named = classes.join(groups.withColumnRenamed("node", "class"), "class", "left").select("class", "least_id", F.coalesce("component", "class").alias("part"))
+    named = classes.join(groups, "class", "left").select("class", "least_id", F.coalesce("component", "class").alias("part"))
     least = named.groupBy("part").agg(F.min("least_id").alias("component_id"))
     ids = named.join(least, "part").select(F.col("class").alias("of"), "component_id")
     joined = members.join(ids, (F.col("class") == F.col("of")) & (F.col("n_shingles") > 0), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _members(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Every row's class, then how many distinct sets of this task have a shingle in each counter."""
-    table = np.zeros(BUCKETS, np.int64)
-    seen: set[int] = set()
+def _broadcast(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its size, which is counted, is within bounds; else Spark joins it as it finds best."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row's class and the size of its set."""
     for batch in slices(batches, SLICE):
         values, ends = shingles(*utf8(batch.column("text")))
-        classes = _classes(values, ends)
-        new = np.array([not (c in seen or seen.add(c)) for c in classes.tolist()], bool)
-        table += np.bincount(_buckets(values[np.repeat(new, np.diff(ends))]), minlength=BUCKETS)
-        n = len(batch)
         yield pa.record_batch({
-            "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n_shingles": pa.array(np.diff(ends).astype(np.int64)),
-            "class": pa.array(classes), "chunk": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
+            "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+            "n_shingles": pa.array(np.diff(ends).astype(np.int64)), "class": pa.array(_classes(values, ends)),
         })
-    chunks = BUCKETS // CHUNK
-    none = pa.nulls(chunks, pa.int64())
-    yield pa.record_batch({
-        "doc_id": pa.nulls(chunks, id_type), "text_hash": none, "n_shingles": none, "class": none, "chunk": pa.array(np.arange(chunks, dtype=np.int32)),
-        "counts": pa.array([c.tobytes() for c in table.reshape(chunks, CHUNK)], pa.binary()),
-    })
+
+
+def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Class, size and shingles of every set that the task has not had before."""
+    seen: set[int] = set()
+    for batch in slices(batches, SLICE):
+        values, ends = shingles(*utf8(batch.column("text")))
+        classes, number = _classes(values, ends), np.diff(ends)
+        new = np.array([not (c in seen or seen.add(c)) for c in classes.tolist()], bool) & (number > 0)
+        if new.any():
+            yield classes[new], number[new], values[np.repeat(new, number)]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many distinct sets of the task have a shingle in each counter."""
+    table, held = np.zeros(BUCKETS, np.uint32), []
+
+    def count() -> None:
+        np.add(table, np.bincount(np.concatenate(held), minlength=BUCKETS), out=table, casting="unsafe")
+        held.clear()
+
+    for _, _, values in _new_sets(batches):
+        held.append(_buckets(values))
+        if sum(map(len, held)) > HELD:
+            count()
+    if held:
+        count()
+    table = np.minimum(table, 2**16 - 1).astype(np.uint16).reshape(-1, CHUNK)
+    some = np.flatnonzero(table.any(axis=1))
+    yield pa.record_batch({"chunk": pa.array(some.astype(np.int32)), "counts": pa.array([table[c].tobytes() for c in some], pa.binary())})
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.int64)
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.uint16).astype(np.int64)
     if sums:
         yield pa.record_batch({"chunk": pa.array(list(sums), pa.int32()), "counts": pa.array([c.tobytes() for c in sums.values()], pa.binary())})
 
@@ -169,39 +192,34 @@ def _prefix_sizes(number: np.ndarray) -> np.ndarray:
     return np.where(number > 0, number - (3 * number + 3) // 4 + 1, 0)
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """The prefix of every new set of the task with rare shingles first, and its first shingle under each other order."""
+def _firsts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Of every new set of the task how frequent its shingles are (mean logarithm), and the first one under each other order."""
     table = shared.value
-    seen: set[int] = set()
-    for batch in slices(batches, SLICE):
-        values, ends = shingles(*utf8(batch.column("text")))
-        classes = _classes(values, ends)
-        number = np.diff(ends)
-        new = np.array([not (c in seen or seen.add(c)) for c in classes.tolist()], bool) & (number > 0)
-        if not new.any():
-            continue
-        values, classes, number = values[np.repeat(new, number)], classes[new], number[new]
-        of = np.repeat(np.arange(len(number)), number)
+    for classes, number, values in _new_sets(batches):
         starts = np.cumsum(number) - number
+        common = np.add.reduceat(np.log2(table[_buckets(values)].astype(np.float64) + 1), starts) / number
         least = np.stack([np.minimum.reduceat(mix(values ^ np.uint64(seed)), starts) for seed in SEEDS], axis=1)
-        times = table[_buckets(values)]
-        order = np.lexsort((values, times, of))
-        place = np.arange(len(of)) - np.repeat(starts, number)
-        # A shingle that no other set has cannot be shared, but it keeps its place in the prefix.
-        taken = place < np.repeat(_prefix_sizes(number), number)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(number) + 1, dtype=np.int32) * len(SEEDS)), pa.array(least.ravel().view(np.int64)))
+        yield pa.record_batch({"class": pa.array(classes), "n": pa.array(number.astype(np.int32)), "common": pa.array(common), "least": lists})
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """The prefix of every new set of the task, with rare shingles first."""
+    table = shared.value
+    for classes, number, values in _new_sets(batches):
+        of, starts = np.repeat(np.arange(len(number)), number), np.cumsum(number) - number
+        order = np.lexsort((values, table[_buckets(values)], of))
+        taken = np.arange(len(of)) - np.repeat(starts, number) < np.repeat(_prefix_sizes(number), number)
         sizes = np.bincount(of[taken], minlength=len(number))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values[order][taken].view(np.int64)))
-        firsts = pa.ListArray.from_arrays(pa.array(np.arange(len(number) + 1, dtype=np.int32) * len(SEEDS)), pa.array(least.ravel().view(np.int64)))
-        yield pa.record_batch({"class": pa.array(classes), "n": pa.array(number.astype(np.int32)), "prefix": lists, "least": firsts})
+        yield pa.record_batch({"class": pa.array(classes), "n": pa.array(number.astype(np.int32)), "prefix": lists})
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """Of the pairs ``a``, ``b`` of classes those that link, compared by a text of each."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = checkpoint(classes.join(ids, "class").select("class", "text_hash"))
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    wanted = _broadcast(checkpoint(classes.join(ids, "class").select("class", "text_hash")))
     texts = rows.select("text_hash", "text").join(wanted, "text_hash").groupBy("class").agg(F.first("text").alias("text"))
-    texts = checkpoint(texts)
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("other")), "b"
     )
