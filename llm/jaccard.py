@@ -11,7 +11,7 @@ from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
 from llm.components import components
 from llm.repeats import Rolling
 
-SLICE = 1 << 20  # bytes of text that a task reads at a time
+SLICE = 1 << 19  # bytes of text that a task reads at a time
 WORDS = 5
 BUCKETS, CHUNK = 1 << 22, 4096  # of the table of shingle frequencies: 16 MB, whatever the input
 HELD = 1 << 21  # shingles that a task gathers before it counts them
