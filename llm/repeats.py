@@ -14,10 +14,14 @@ SLICE = 1 << 20  # bytes of text that a task reads at a time
 STRETCH = 1 << 21  # window starts that are looked at together; longer texts go on in the next stretch
 GRAM = 32  # bytes of the first digit
 GROUP = 8_192  # contexts of one first digit that a task compares by itself
+HELD = 250_000  # runs that a task settles among themselves before it sends them on
+COMMON = 32  # contexts of one first digit among these, beyond which they are dealt one by one
+SORTED, SETTLED, OPEN = 0, 1, 2  # kinds of runs: to be sorted by digit, repeated, known to go on
+MARK = -1  # in the place of a run's start: says that a digit has other contexts elsewhere
 A = pa.int64()
 
 
-@lru_cache(4)
+@lru_cache(2)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     return tuple(np.multiply.accumulate(np.r_[np.uint64(1), np.full(1 << bits, b, np.uint64)]) for b in (base, pow(base, -1, 1 << 64)))
@@ -27,7 +31,7 @@ class Rolling:
     """Hashes of any stretch of some bytes."""
 
     def __init__(self, data: np.ndarray) -> None:
-        up, self.down = _powers(max(12, int(len(data)).bit_length()))
+        up, self.down = _powers(max(21, int(len(data)).bit_length()))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(mix(np.arange(1, 257, dtype=np.uint64))[data] * up[: len(data)], out=self.sums[1:])
 
@@ -96,25 +100,32 @@ def repeated_spans(docs: DataFrame, length: int = 200, group: int = GROUP) -> Da
     fetches their bytes and sorts their suffixes by the digits to the left and to the right of the first; groups that
     are still equal after that are exactly the repeated windows. Digits are compared by 64-bit hashes, two or more in a row.
 
-    Copies of a text leave a task once. No group is gathered: the first pass streams through sorted rows, and a digit with
-    more than ``group`` contexts is counted by a shuffle of its suffixes' digits with partial sums.
+    No group is gathered, however common a text, passage or line is. Copies of a text leave a task once, and equal
+    runs are settled in their task, which sends one of them on. A digit with many contexts in one task is known to
+    go on: its contexts are dealt by themselves, and only a mark is dealt with the digit. In the second
+    pass, a digit with more than ``group`` contexts is counted by a shuffle of its suffixes' digits with partial sums.
     """
     if not GRAM < length < 1 << 11:
         raise ValueError(f"length is {length}; it must be over {GRAM} and below 2048")
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    runs = texts.mapInArrow(lambda b: _runs(b, length), "digit long, whole long, text_hash long, at long")
-    sorted_ = runs.repartition("digit").sortWithinPartitions("digit", "whole")
+    runs = texts.mapInArrow(lambda b: _runs(b, length), "digit long, whole long, text_hash long, at long, kind int")
+    deal = F.when(F.col("kind") == SORTED, F.col("digit")).when(F.col("kind") == SETTLED, F.col("text_hash") + F.col("at")).otherwise(F.col("whole"))
+    sorted_ = runs.repartition(deal).sortWithinPartitions("digit", "whole")
     passed = checkpoint(sorted_.mapInArrow(_first_pass, "digit long, text_hash long, at long, open boolean"))
     settled = passed.filter(~F.col("open")).select("text_hash", _span(F.col("at"), length).alias("span"))
-    open_ = passed.filter("open").groupBy("text_hash").agg(F.collect_list(F.struct("digit", "at")).alias("runs"))
-    cut = texts.join(open_, "text_hash").mapInArrow(lambda b: _cut(b, length), "digit long, whole long, text_hash long, at long, bytes binary")
-    second = cut.repartition("digit").sortWithinPartitions("digit", "whole")
-    compared = checkpoint(second.mapInArrow(lambda b: _second_pass(b, length, group), "text_hash long, start long, end long, left long, right long"))
+    open_ = passed.filter("open").select("digit", "text_hash", "at")
+    many = open_.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group).select("digit", F.lit(True).alias("many"))
+    open_ = open_.join(many, "digit", "left").groupBy("text_hash").agg(F.collect_list(F.struct("digit", "at", "many")).alias("runs"))
+    cut = texts.join(open_, "text_hash").mapInArrow(
+        lambda b: _cut(b, length), "digit long, text_hash long, at long, bytes binary, start long, end long, left long, right long"
+    )
+    second = cut.repartition(F.coalesce("left", "digit")).sortWithinPartitions("digit")
+    compared = checkpoint(second.mapInArrow(lambda b: _second_pass(b, length), "text_hash long, start long, end long, left long, right long"))
     certain = compared.filter(F.col("left").isNull()).select("text_hash", F.struct("start", "end").alias("span"))
-    many = compared.filter(F.col("left").isNotNull())
-    shared = many.groupBy("left", "right").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    counted = many.join(shared, ["left", "right"]).select("text_hash", F.struct("start", "end").alias("span"))
+    counted = compared.filter(F.col("left").isNotNull())
+    shared = counted.groupBy("left", "right").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = counted.join(shared, ["left", "right"]).select("text_hash", F.struct("start", "end").alias("span"))
     copies = texts.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = copies.select("text_hash", F.lit(None).cast("struct<start:long,end:long>").alias("span"))
     spans = settled.unionByName(certain).unionByName(counted).unionByName(copies)
@@ -130,7 +141,32 @@ def _span(at, length: int):
 
 
 def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The runs of every new text of the task, to be sorted, settled or already known to go on (see ``repeated_spans``)."""
     seen: set[int] = set()
+    held: list[np.ndarray] = []
+
+    def out(rows: np.ndarray, kind: int) -> pa.RecordBatch:
+        names = ("digit", "whole", "text_hash", "at")
+        return pa.record_batch({**{n: pa.array(r) for n, r in zip(names, rows)}, "kind": pa.repeat(pa.scalar(kind, pa.int32()), rows.shape[1])})
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held, axis=1)
+        held.clear()
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        new_digit = np.r_[True, rows[0, 1:] != rows[0, :-1]]
+        new = new_digit | np.r_[True, rows[1, 1:] != rows[1, :-1]]
+        repeated = ~new | ~np.r_[new[1:], True]
+        if repeated.any():
+            yield out(rows[:, repeated], SETTLED)
+        ones, digit = rows[:, new], np.cumsum(new_digit[new]) - 1
+        common = np.bincount(digit)[digit] > COMMON
+        yield out(ones[:, ~common], SORTED)
+        if common.any():
+            yield out(ones[:, common], OPEN)
+            marks = ones[:, common & new_digit[new]].copy()
+            marks[1:3], marks[3] = 0, MARK
+            yield out(marks, SORTED)
+
     for batch in slices(batches, SLICE):
         keys = batch.column("text_hash").to_pylist()
         new = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
@@ -138,10 +174,13 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
             continue
         batch = batch.take(pa.array(new))
         digit, whole, text, first, number, ahead = contexts(*utf8(batch.column("text")), length)
-        yield pa.record_batch({
-            "digit": pa.array(digit.view(np.int64)), "whole": pa.array(whole.view(np.int64)),
-            "text_hash": batch.column("text_hash").take(pa.array(text)), "at": pa.array(_pack(first, number, ahead)),
-        })
+        if len(digit):
+            names = batch.column("text_hash").to_numpy()[text]
+            held.append(np.stack([digit.view(np.int64), whole.view(np.int64), names, _pack(first, number, ahead)]))
+        if sum(h.shape[1] for h in held) > HELD:
+            yield from flush()
+    if held:
+        yield from flush()
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,12 +192,18 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting: np.ndarray | None = None  # first row of the first run of the current digit
 
     def out(rows: np.ndarray, open_: bool) -> pa.RecordBatch:
+        rows = rows[:, rows[3] != MARK]
         return pa.record_batch({"digit": pa.array(rows[0]), "text_hash": pa.array(rows[2]), "at": pa.array(rows[3]), "open": pa.repeat(open_, rows.shape[1])})
 
     for batch in batches:
-        if not len(batch):
-            continue
+        kind = batch.column("kind").to_numpy()
         rows = np.stack([*[batch.column(c).to_numpy() for c in ("digit", "whole", "text_hash", "at")], np.zeros(len(batch), np.int64)])
+        for done, open_ in ((SETTLED, False), (OPEN, True)):
+            if (kind == done).any():
+                yield out(rows[:, kind == done], open_)
+        rows = rows[:, kind == SORTED]
+        if not rows.shape[1]:
+            continue
         fresh = held is None
         if not fresh:
             rows = np.concatenate([held, rows], axis=1)
@@ -193,85 +238,80 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of every context; of digits with ``many`` contexts the digits of every window instead."""
+    seen: set[int] = set()
     for batch in slices(batches, SLICE):
+        keys = batch.column("text_hash").to_pylist()
+        new = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
+        if not new:
+            continue
+        batch = batch.take(pa.array(new))
         data, starts = utf8(batch.column("text"))
         lists = batch.column("runs")
         number = np.diff(lists.offsets.to_numpy())
         rows = lists.flatten()
-        at = rows.field("at").to_numpy()
-        first = (at >> 24) + np.repeat(starts[:-1], number)
-        sizes = (at >> 12 & 4095) - 1 + length
-        whole = Rolling(data).of(first, first + sizes)
-        cuts = [data[a : a + n].tobytes() for a, n in zip(first.tolist(), sizes.tolist())]
-        yield pa.record_batch({
-            "digit": rows.field("digit"), "whole": pa.array(whole.view(np.int64)),
-            "text_hash": batch.column("text_hash").take(pa.array(np.repeat(np.arange(len(batch)), number))),
-            "at": pa.array(at), "bytes": pa.array(cuts, pa.binary()),
-        })
-
-
-def _second_pass(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Compare the windows of the contexts of each digit; a digit with too many contexts leaves its windows' digits to be counted."""
-    kept: list[pa.RecordBatch] = []
-    size, last, large = 0, None, None
-    before = (None, None)
-
-    def settle(rows: pa.Table, count_later: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal before
-        keys, wholes = rows.column("digit").to_numpy(), rows.column("whole").to_numpy()
-        once = np.r_[before != (keys[0], wholes[0]), (keys[1:] != keys[:-1]) | (wholes[1:] != wholes[:-1])]
-        before = keys[-1], wholes[-1]
-        rows = rows.take(pa.array(np.flatnonzero(once)))  # copies of a text bring a context twice
-        for at in range(0, len(rows), most) if count_later else (0,):
-            yield from _windows(rows.slice(at, most) if count_later else rows, length, count_later)
+        digit, at = rows.field("digit").to_numpy(), rows.field("at").to_numpy()
+        many = rows.field("many").is_valid().to_numpy(zero_copy_only=False)
+        text = batch.column("text_hash").to_numpy()[np.repeat(np.arange(len(batch)), number)]
+        begin = np.repeat(starts[:-1], number)
+        if (~many).any():
+            first = (at >> 24) + begin
+            sizes = (at >> 12 & 4095) - 1 + length
+            cuts = [data[a : a + n].tobytes() for a, n in zip(first[~many].tolist(), sizes[~many].tolist())]
+            none = pa.nulls(len(cuts), A)
+            yield pa.record_batch({
+                "digit": pa.array(digit[~many]), "text_hash": pa.array(text[~many]), "at": pa.array(at[~many]),
+                "bytes": pa.array(cuts, pa.binary()), "start": none, "end": none, "left": none, "right": none,
+            })
+        if many.any():
+            of, start, left, right = _window_digits(data, begin[many] + (at[many] >> 24), at[many], digit[many], length)
+            n = len(of)
+            yield pa.record_batch({
+                "digit": pa.nulls(n, A), "text_hash": pa.array(text[many][of]), "at": pa.nulls(n, A), "bytes": pa.nulls(n, pa.binary()),
+                "start": pa.array(start), "end": pa.array(start + length), "left": pa.array(left.view(np.int64)), "right": pa.array(right.view(np.int64)),
+            })
+
+
+def _window_digits(data: np.ndarray, places: np.ndarray, at: np.ndarray, digit: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Of every window of contexts that lie at ``places`` in ``data``: the context, the start in its text, and the digits left and right of the first."""
+    first, number, ahead = at >> 24, at >> 12 & 4095, at & 4095
+    of = np.repeat(np.arange(len(at)), number)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
+    here, middle = places[of] + nth, places[of] + ahead[of]
+    hashed = Rolling(data)
+    return of, first[of] + nth, mix(digit.view(np.uint64)[of] ^ hashed.of(here, middle)), hashed.of(middle, here + length)
 
+
+def _second_pass(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Compare the windows of the contexts of each digit, some thousand contexts at a time; windows that are to be counted pass."""
+    kept: list[pa.RecordBatch] = []
+    size, last = 0, None
+    carried = ["text_hash", "start", "end", "left", "right"]
     for batch in batches:
+        counted = batch.filter(batch.column("left").is_valid())
+        if len(counted):
+            yield counted.select(carried)
+        batch = batch.filter(batch.column("left").is_null())
+        if not len(batch):
+            continue
         keys = batch.column("digit").to_numpy()
-        ends = np.r_[np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)] if len(keys) else []
-        start = 0
-        for end in ends:
-            if keys[start] != last:
-                if size > most // 2 or large is not None:
-                    if kept:
-                        yield from settle(pa.Table.from_batches(kept).combine_chunks(), large is not None)
-                    kept, size, large = [], 0, None
-                last, group = keys[start], 0
+        starts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1]
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+            if keys[start] != last and size > GROUP // 2:
+                yield from _windows(pa.Table.from_batches(kept).combine_chunks(), length)
+                kept, size = [], 0
+            last = keys[start]
             kept.append(batch.slice(start, end - start))
             size += end - start
-            group += end - start
-            if group > most:  # only this digit's rows, once the ones before it are gone
-                if large is None:
-                    own = [b for b in kept if b.column("digit")[0].as_py() == last]
-                    others = kept[: len(kept) - len(own)]
-                    if others:
-                        yield from settle(pa.Table.from_batches(others).combine_chunks(), False)
-                    kept, large = own, last
-                yield from settle(pa.Table.from_batches(kept).combine_chunks(), True)
-                kept, size, group = [], 0, most
-            start = end
     if kept:
-        yield from settle(pa.Table.from_batches(kept).combine_chunks(), large is not None)
+        yield from _windows(pa.Table.from_batches(kept).combine_chunks(), length)
 
 
-def _windows(rows: pa.Table, length: int, count_later: bool) -> Iterator[pa.RecordBatch]:
+def _windows(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     data, starts = utf8(rows.column("bytes"))
     at = rows.column("at").to_numpy()
-    first, number, ahead = at >> 24, at >> 12 & 4095, at & 4095
-    of = np.repeat(np.arange(len(at)), number)
-    nth = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
-    here = starts[of] + nth
-    middle = starts[of] + ahead[of]  # where the first digit lies: the windows' digits are what is left and right of it
-    hashed = Rolling(data)
-    digit = rows.column("digit").to_numpy().view(np.uint64)[of]
-    left = mix(digit ^ hashed.of(here, middle))
-    right = hashed.of(middle, here + length)
     text = rows.column("text_hash").to_numpy()
-    if count_later:
-        yield pa.record_batch({
-            "text_hash": pa.array(text[of]), "start": pa.array(first[of] + nth), "end": pa.array(first[of] + nth + length),
-            "left": pa.array(left.view(np.int64)), "right": pa.array(right.view(np.int64)),
-        })
-        return
+    of, start, left, right = _window_digits(data, starts[:-1], at, rows.column("digit").to_numpy(), length)
     alive = np.arange(len(of))
     for values in (left, right):  # a pass per digit; after each, suffixes that are alone leave
         group = np.zeros(len(alive), np.int64) if values is left else group
@@ -288,8 +328,7 @@ def _windows(rows: pa.Table, length: int, count_later: bool) -> Iterator[pa.Reco
     head, tail = alive[cuts], alive[np.r_[cuts[1:], len(alive)] - 1]
     none = pa.nulls(len(head), A)
     yield pa.record_batch({
-        "text_hash": pa.array(text[of[head]]), "start": pa.array(first[of[head]] + nth[head]),
-        "end": pa.array(first[of[tail]] + nth[tail] + length), "left": none, "right": none,
+        "text_hash": pa.array(text[of[head]]), "start": pa.array(start[head]), "end": pa.array(start[tail] + length), "left": none, "right": none,
     })
 
 
