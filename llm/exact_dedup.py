@@ -21,19 +21,20 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     last. Rows that also share that id are told apart by nothing, so each counts in
     ``group_size`` and exactly one has ``kept``. Other columns are ignored. ``doc_id`` may have any type with an order.
 
-    Sampled splitters deal rows into ranges of (normalised text, code points, id), and each
-    range is sorted, on disk where it must, so equal texts are neighbours and their first row is the
-    one that stays. As the splitters see length and id too, a text held by a third of all rows
-    spreads over many ranges. Neighbours are compared in full. Only the first and last run of
-    a range can go on in another: these, two rows per range, are merged by their full text and
-    the result, without texts, is broadcast: it has at most two rows per range.
+    Sampled splitters deal rows into ranges, and each range is sorted, on disk where it must, so that equal
+    texts are neighbours and their first row is the one that stays. Splitters are short, as the sample
+    passes through the driver: the first 32 characters of the normalised text, a hash of all of it for
+    texts that begin alike, then length and id, so that a text held by a third of all rows spreads
+    over many ranges. Within a range whole texts are sorted and neighbours compared in full. Only
+    the first and last run of a range can go on in another: these, two rows per range, are merged
+    by their full text and the result, without texts, is broadcast: it has at most two rows per range.
     """
     normal = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.translate("text", BLANKS, "").alias("norm"), (-F.char_length("text")).alias("short")
-    )
-    order, kind = ["norm", "short", F.asc_nulls_last("doc_id")], type_of(docs, "doc_id")
-    ranged = normal.repartitionByRange(*order).sortWithinPartitions(*order)
-    runs = ranged.withColumn("sha", F.sha2("norm", 256)).mapInArrow(
+    ).withColumn("begins", F.substring("norm", 1, 32)).withColumn("rest", F.xxhash64("norm"))
+    last, kind = ["short", F.asc_nulls_last("doc_id")], type_of(docs, "doc_id")
+    ranged = normal.repartitionByRange("begins", "rest", *last).sortWithinPartitions("begins", "rest", "norm", *last)
+    runs = ranged.select("doc_id", "norm", "short", F.sha2("norm", 256).alias("sha")).mapInArrow(
         _runs, f"doc_id {kind}, short int, sha string, first boolean, keep_id {kind}, n long, edge boolean, head string"
     )
     rows = checkpoint(runs)
