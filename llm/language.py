@@ -6,14 +6,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import codepoints, given, query, slices
+from llm.common import checkpoint, codepoints, given, query, slices
 from llm.ngrams import Sorted, Tally, count, hashes, rolling
 
 ORDER = 4
 UNKNOWN = "und"
+PAD = "\x02"  # stands before a text, whose first n-grams are shorter
 SLICE = 1 << 20  # bytes of text that a task scores at a time
+HOT = 1 << 18  # n-grams that every task looks up by itself; the others are joined
+CELLS = 1 << 22  # bound of those n-grams times the languages
 
 
 def normalise(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -36,13 +39,11 @@ def _LETTERS(cache: list[np.ndarray] = []) -> np.ndarray:  # noqa: B006  (one ta
 
 @dataclass
 class Model:
-    """Per order, sorted hash arrays of n-grams with log-probabilities, and of contexts with log back-off weights, a column per language."""
+    """A model in memory: per order, sorted hash arrays of n-grams with log-probabilities, and of contexts with log back-off weights, a column per language."""
 
     languages: list[str]
     grams: list[tuple[Sorted, np.ndarray]]
     contexts: list[tuple[Sorted, np.ndarray]]
-    scale: float = 1.0
-    limits: dict[str, float] | None = None
 
     def entropies(self, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Cross-entropy per character of every text under every language, in nats; nan without characters."""
@@ -75,7 +76,9 @@ class Model:
 
 
 def fit(counts: dict[str, dict[str, int]]) -> Model:
-    """Interpolated Kneser-Ney models from the counts of the longest n-grams of each language.
+    """Interpolated Kneser-Ney models from the counts of the longest n-grams of each language, where these fit in memory.
+
+    ``learn`` computes the same by joins, and tests hold it against this.
 
     Lower orders count the different characters that precede an n-gram. Each order takes its discount
     n1 / (n1 + 2 n2) and hands what it takes to the next lower one, the lowest to a uniform one.
@@ -158,27 +161,32 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, max_languages: int = 200, max_grams: int = 100_000, calibrate: int = 20, quantile: float = 0.999) -> Model:
+@dataclass
+class Learned:
+    """A model as tables: ``grams`` (``gram``, ``own``: per language that has it its share of the context, less the discount) and
+    ``contexts`` (``head``, ``back``: per language that has it the weight of the next lower order), of all orders."""
+
+    languages: list[str]
+    grams: DataFrame | None = None
+    contexts: DataFrame | None = None
+    kinds: int = 0  # different characters
+    scale: float = 1.0
+    limits: dict[str, float] | None = None
+
+
+def learn(docs: DataFrame, calibrate: int = 20, quantile: float = 0.999) -> Learned:
     """Learn a model from every row with a text and a ``lang``.
 
     All rows are counted, but for one in ``calibrate`` (by a hash of its text), on which the model is
-    calibrated. The model's size is bounded: it knows the ``max_languages`` languages with the most n-grams and
-    of each the ``max_grams`` most frequent 4-grams; rarer ones are scored by the lower orders. Calibration finds the
+    calibrated, and all n-grams of all languages are in the model. Calibration finds the
     scale that makes the softmax of the cross-entropies most likely, and per language the
     cross-entropy that only ``1 - quantile`` of its own texts exceed: beyond it, a prediction is marked as rejected.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     held = F.pmod(F.xxhash64("text"), F.lit(calibrate)) == 0
-    counted = gram_counts(known.filter(~held))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counted.withColumn("place", place).filter(F.col("place") <= max_grams)
-    langs = counted.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(max_languages)
-    counts: dict[str, dict[str, int]] = {}
-    for row in kept.join(F.broadcast(langs.select("lang")), "lang").select("lang", "gram", "n").toLocalIterator(prefetchPartitions=True):
-        counts.setdefault(row["lang"], {})[row["gram"]] = row["n"]
-    if not counts:
-        return Model([], [], [])
-    model = fit(counts)
+    model = tables(checkpoint(gram_counts(known.filter(~held))))
+    if not model.languages:
+        return model
     scored = _entropies(known.filter(held & F.col("lang").isin(model.languages)), model, ["lang"])
     own = F.element_at("entropies", F.array_position(F.array(*map(F.lit, model.languages)), F.col("lang")).cast("int"))
     scales = [1.0, 3.0, 10.0, 30.0, 100.0]
@@ -192,23 +200,159 @@ def learn(docs: DataFrame, max_languages: int = 200, max_grams: int = 100_000, c
     return model
 
 
-def _entropies(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns to keep and ``entropies``, by language; null for texts without a letter."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def tables(counted: DataFrame) -> Learned:
+    """What ``fit`` computes, from ``lang``, ``gram`` and ``n`` of all longest n-grams, by grouping and joins.
+
+    Continuation counts, counts of counts, contexts and shares stay in tables; only the names of the languages reach the driver.
+    """
+    languages = sorted(row["lang"] for row in counted.select("lang").distinct().collect())
+    if not languages:
+        return Learned([])
+    numbers = counted.sparkSession.createDataFrame(list(enumerate(languages)), "of int, lang string")
+    types = counted.join(F.broadcast(numbers), "lang").select("of", "gram", F.col("n").alias("c"))
+    every = types
+    for _ in range(ORDER - 1):
+        types = types.groupBy("of", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("c"))
+        every = every.unionByName(types)
+    every = checkpoint(every.withColumn("k", F.char_length("gram")))
+    ones, twos = F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+    discounts = every.groupBy("of", "k").agg(F.when(ones > 0, ones / (ones + 2 * twos)).otherwise(0.5).alias("discount"))
+    rows = every.join(F.broadcast(discounts), ["of", "k"]).select(
+        "of", "gram", F.expr("substring(gram, 1, k - 1)").alias("head"), "c", F.least(F.col("c").cast("double"), "discount").alias("taken")
+    )
+    contexts = checkpoint(rows.groupBy("head", "of").agg(F.sum("c").alias("total"), (F.sum("taken") / F.sum("c")).alias("v")))
+    shares = rows.join(contexts.select("head", "of", "total"), ["head", "of"]).withColumn("v", (F.col("c") - F.col("taken")) / F.col("total"))
+    grams = checkpoint(shares.groupBy("gram").agg(F.collect_list(F.struct("of", "v")).alias("own")))
+    backs = checkpoint(contexts.groupBy("head").agg(F.collect_list(F.struct("of", "v")).alias("back")))
+    return Learned(languages, grams, backs, grams.filter(F.char_length("gram") == 1).count())
+
+
+def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the normalised and padded texts, their n + 1 starts, and the places to score: all after the opening space."""
+    points, starts = normalise(texts)
+    points = np.insert(points, np.repeat(starts[:-1], ORDER - 2), ord(PAD))
+    starts = starts + (ORDER - 2) * np.arange(len(starts))
+    places = np.arange(len(points)) - np.repeat(starts[:-1], np.diff(starts))
+    return points, starts, np.flatnonzero(places >= ORDER - 1)
+
+
+def corpus_grams(docs: DataFrame) -> DataFrame:
+    """``gram`` and ``n`` of all padded texts, summed in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            for grams, n in tally.take():
+                yield pa.record_batch({"gram": pa.array(grams.tolist(), pa.string()), "n": pa.array(n)})
+
         for batch in slices(batches, SLICE):
-            points, starts = normalise(batch.column("text").to_pylist())
-            found = shared.value.entropies(points, starts)
-            empty = np.diff(starts) < 2
-            lists = [None if e else row for e, row in zip(empty, found.tolist())]
-            yield pa.record_batch([*[batch.column(k) for k in keep], pa.array(lists, pa.list_(pa.float64()))], names=[*keep, "entropies"])
+            points, _, ends = _padded(batch.column("text").to_pylist())
+            if len(ends):
+                tally.add(*count(points, ends, ORDER))
+            if tally.full:
+                yield from hand_on()
+        yield from hand_on()
+
+    return docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
-    kinds = dict(docs.dtypes)
-    return docs.select(*keep, "text").mapInArrow(run, f"{', '.join(f'{k} {kinds[k]}' for k in keep)}, entropies array<double>")
 
+def gram_probabilities(model: Learned, grams: DataFrame) -> DataFrame:
+    """``gram``, ``n`` and ``logs``: of every padded n-gram, the log-probability of its last character in each language."""
+    width, kinds = len(model.languages), model.kinds
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, lower = len(batch), batch.column("lower")
+            if lower.null_count:
+                p = np.full((n, width), 1.0 / (kinds + 1))
+            else:
+                p = lower.flatten().to_numpy().reshape(n, width).copy()
+            for name, change in (("back", np.multiply), ("own", np.add)):
+                lists = batch.column(name)
+                rows = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                of, values = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+                p[rows, of] = change(p[rows, of], values)
+            yield pa.record_batch({"gram": batch.column("gram"), "p": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * width, p.ravel())})
+
+    real = F.ltrim("gram", F.lit(PAD))
+    opened = grams.select(real.alias("gram"))
+    wanted = {ORDER: opened.filter(F.char_length("gram") == ORDER)}
+    for k in range(ORDER - 1, 0, -1):
+        tails = wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram"))
+        wanted[k] = tails.union(opened.filter(F.char_length("gram") == k)).distinct()
+    below = every = None
+    for k in range(1, ORDER + 1):
+        rows = wanted[k].join(model.grams, "gram", "left").withColumn("head", F.expr(f"substring(gram, 1, {k - 1})")).join(model.contexts, "head", "left")
+        if below is None:
+            rows = rows.withColumn("lower", F.lit(None).cast("array<double>"))
+        else:
+            rows = rows.withColumn("tail", F.expr("substring(gram, 2)")).join(below.select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
+        below = rows.select("gram", "own", "back", "lower").mapInArrow(run, "gram string, p array<double>")
+        if k < ORDER:
+            below = checkpoint(below)
+        every = below if every is None else every.unionByName(below)
+    named = grams.select(F.col("gram").alias("padded"), "n", real.alias("gram"))
+    return named.join(every, "gram").select(F.col("padded").alias("gram"), "n", F.transform("p", lambda x: F.log(x)).alias("logs"))
+
+
+def _entropies(docs: DataFrame, model: Learned, keep: list[str]) -> DataFrame:
+    """The columns to keep and ``entropies``, by language; null for texts without a letter.
+
+    The n-grams of all texts are counted once and their probabilities computed once each. The most frequent ones, a
+    bounded table, are broadcast; occurrences of the others leave their task as (row, n-gram, times) and are joined by n-gram.
+    """
+    known = checkpoint(gram_probabilities(model, checkpoint(corpus_grams(docs))))
+    most = max(1, min(HOT, CELLS // len(model.languages)))
+    hot = known.orderBy(F.desc("n"), "gram").limit(most).select("gram", "logs").toArrow().combine_chunks()
+    keys = hashes(np.array(hot.column("gram").to_pylist(), f"<U{ORDER}"))
+    logs = hot.column("logs").combine_chunks().flatten().to_numpy().reshape(len(keys), len(model.languages))
+    order = np.argsort(keys)
+    table = docs.sparkSession.sparkContext.broadcast((keys[order], np.ascontiguousarray(logs[order].T)))
+    kinds = dict(docs.dtypes)
+    found = checkpoint(docs.select(*keep, "text", F.monotonically_increasing_id().alias("__row")).mapInArrow(
+        lambda batches: _score(batches, table, keep),
+        f"{', '.join(f'{k} {kinds[k]}' for k in keep)}, __row long, chars long, sums array<double>, gram string, n long",
+    ))
+    cold = found.filter(F.col("gram").isNotNull()).select("__row", "gram", F.col("n").alias("times")).join(known.select("gram", "logs"), "gram")
+    rest = cold.select("__row", "times", F.posexplode("logs").alias("of", "v")).groupBy("__row", "of").agg(F.sum(F.col("times") * F.col("v")).alias("v"))
+    rest = rest.groupBy("__row").agg(F.transform(F.sort_array(F.collect_list(F.struct("of", "v"))), lambda x: x["v"]).alias("rest"))
+    whole = found.filter(F.col("gram").isNull()).join(rest, "__row", "left")
+    total = F.coalesce(F.zip_with("sums", "rest", lambda a, b: a + b), F.col("sums"))
+    return whole.select(*keep, F.when(F.col("chars") > 0, F.transform(total, lambda x: -x / F.col("chars"))).alias("entropies"))
+
+
+def _score(batches: Iterator[pa.RecordBatch], table, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    keys, logs = table.value
+    hot = Sorted(keys)
+    carried = [*keep, "__row"]
+    names = [*carried, "chars", "sums", "gram", "n"]
+    for batch in slices(batches, SLICE):
+        points, starts, ends = _padded(batch.column("text").to_pylist())
+        of = np.searchsorted(starts, ends, "right") - 1
+        hashed = rolling(points, ORDER)[ends - ORDER + 1]
+        at = hot.find(hashed)
+        n, hit = len(batch), at >= 0
+        sums = np.stack([np.bincount(of[hit], column[at[hit]], n) for column in logs], 1).astype(np.float64)  # without any, bincount gives integers
+        lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * len(logs), sums.ravel())
+        empty = pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())
+        yield pa.record_batch([*[batch.column(c) for c in carried], pa.array(np.bincount(of, minlength=n)), lists, *empty], names=names)
+        if len(missed := np.flatnonzero(~hit)):
+            missed = missed[np.lexsort((hashed[missed], of[missed]))]
+            first = np.ones(len(missed), bool)
+            first[1:] = (np.diff(hashed[missed]) != 0) | (np.diff(of[missed]) != 0)
+            first = np.flatnonzero(first)
+            times = np.diff(np.append(first, len(missed)))
+            windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends[missed[first]] - ORDER + 1]
+            grams = np.ascontiguousarray(windows).view(f"<U{ORDER}").ravel()
+            m = len(first)
+            yield pa.record_batch([
+                *[pa.nulls(m, batch.column(c).type) for c in keep], batch.column("__row").take(pa.array(of[missed[first]])), pa.nulls(m, pa.int64()),
+                pa.nulls(m, lists.type), pa.array(grams.tolist(), pa.string()), pa.array(times),
+            ], names=names)
+
+
+def identify(docs: DataFrame, model: Learned) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and ``rejected`` of every whole text.
 
     ``lang_pred`` is the language of the lowest cross-entropy per character, the first by name among equals, and ``und`` with score 0

@@ -155,3 +155,30 @@ def test_toxicity_edges(spark, edge, empty):
     none = toxicity.learn(edge, labels.limit(0))
     assert {r["predicted"] for r in toxicity.score(edge, none).collect()} == {0}
     assert toxicity.score(empty, none).count() == 0
+
+
+def test_language_learns_every_gram_of_every_language(spark, monkeypatch):
+    """More than 100,000 distinct 4-grams in a language and more than 200 languages, against the model in memory."""
+    monkeypatch.setattr(language, "HOT", 5)
+    rng = np.random.default_rng(8)
+    signs = lambda n: "".join(map(chr, rng.integers(0x4E00, 0x8000, n)))
+    rows = [("zh", signs(40_000)) for _ in range(3)] + [(f"x{i:03}", " ".join([signs(3)] * 3)) for i in range(205)]
+    rows += [(lang, " ".join(text[:7] for _ in range(2))) for lang, text in rows[:20]]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    counted = language.gram_counts(docs)
+    counts = defaultdict(dict)
+    for r in counted.collect():
+        counts[r["lang"]][r["gram"]] = r["n"]
+    assert len(counts) == 206 and len(counts["zh"]) > 100_000
+    wanted, model = language.fit(counts), language.tables(counted)
+    assert model.languages == wanted.languages
+    texts = [rows[0][1][:300], rows[2][1][-200:], rows[-30][1], rows[50][1], "a", "新しい x", None, "?"]
+    scored = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = {r["doc_id"]: r["entropies"] for r in language._entropies(scored, model, ["doc_id"]).collect()}
+    assert found[6] is None and found[7] is None
+    for i, want in enumerate(wanted.entropies(*language.normalise(texts))[:6]):
+        assert found[i] == pytest.approx(want.tolist(), rel=1e-4)
+    known = language.learn(docs, calibrate=1 << 40)
+    assert known.languages == wanted.languages
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(scored, known).collect()}
+    assert [found[i] for i in range(4)] == ["zh", "zh", rows[-30][0], rows[50][0]]
