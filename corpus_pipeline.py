@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's ``docs``. All but the last return the columns of ``docs``. A stage looks at all rows
-that its predecessor kept. ``docs`` must be a table read from files, as its rows are numbered by their place.
+that its predecessor kept. ``docs`` must be a table read from Parquet files, as its rows are named by file and place.
 Rows of a null ``doc_id`` are documents like any other, and rows that share an id are told apart.
 """
 from __future__ import annotations
@@ -21,9 +21,14 @@ from llm.repeats import remove_repeats
 BROADCAST_ROWS = 1_000_000  # dropped rows that are broadcast; more are joined by shuffle
 
 
+def _place() -> list[Column]:
+    """A row's file (its hash) and number therein, the same in every scan, however Spark splits the files among tasks."""
+    return [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """``doc_id`` (a name of its own for every row, in the order of ids, nulls last) and ``text``."""
-    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *_place())
     return docs.select(name.alias("doc_id"), "text")
 
 
@@ -44,14 +49,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    dropped = exact_groups(_named(docs)).filter("not kept").select("doc_id.row")
-    return _without(docs, dropped, [F.monotonically_increasing_id()], ["row"])
+    dropped = exact_groups(_named(docs)).filter("not kept").select("doc_id.file", "doc_id.row")
+    return _without(docs, dropped, _place(), ["file", "row"])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of similar documents."""
-    dropped = near_duplicates(_named(docs)).filter("doc_id <> component_id").select("doc_id.row")
-    return _without(docs, dropped, [F.monotonically_increasing_id()], ["row"])
+    dropped = near_duplicates(_named(docs)).filter("doc_id <> component_id").select("doc_id.file", "doc_id.row")
+    return _without(docs, dropped, _place(), ["file", "row"])
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """The pipeline against its stages' brute-force versions, and on edge cases."""
+import random
 from collections import defaultdict
 
+import pytest
+
 import corpus_pipeline
-from tests.llm.conftest import DOCS, edge_rows
+from tests.llm.conftest import DOCS, edge_rows, words
 from tests.llm.test_exact_dedup import brute as brute_exact
 from tests.llm.test_near import brute_components, brute_repeats
 from tests.llm.test_tokens import pieces_of, tokenized
@@ -51,3 +54,26 @@ def test_edges_and_empty(spark, tmp_path):
         for r in spark.read.parquet(str(base / "exact")).collect():
             exact["".join((r["text"] or "").split())] += 1
         assert set(exact.values()) == {1}
+
+
+@pytest.mark.parametrize("name", ["exact", "near"])
+def test_rows_are_told_apart_when_scans_are_split_differently(spark, tmp_path, name):
+    """The stage decides in one scan and drops in a later one, which splits the files in another way."""
+    rng = random.Random(11)
+    texts = [words(rng, 60 + 10 * i) for i in range(6)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*texts, texts[1], texts[4]])]
+    for i in range(4):  # files of different sizes
+        spark.createDataFrame(rows[2 * i : 2 * i + 2], DOCS).coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    settings = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1", "spark.sql.files.maxPartitionBytes": "100000000"}
+    parts = docs.rdd.getNumPartitions()
+    left = dict(corpus_pipeline.STAGES)[name](spark, docs, FOLDER)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert spark.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions() < parts
+        found = sorted(r["doc_id"] for r in left.collect())
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert found == [0, 1, 2, 3, 4, 5]
