@@ -15,6 +15,7 @@ PAD = "\x02"  # stands before a text
 SLICE = 1 << 20  # bytes of text that a task counts or scores at a time
 BROADCAST_ROWS = 2_000_000  # trusted ids that are broadcast; more are joined by shuffle
 SMOOTH = 50  # characters at the language's median that are added to a text, so that a short one is not judged by its first letters
+SUPPORT = 30  # held-out documents that a language needs for a limit of its own
 HOT = 1 << 18  # n-grams that every task looks up by itself; the others are joined
 
 
@@ -106,18 +107,28 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     The n-grams of all texts are counted once and their probabilities computed once each. The 262,144 most frequent ones, a
     bounded table, are broadcast; occurrences of the others leave their task as (row, n-gram, times) and are joined by n-gram.
     """
+    return _entropies(_marked(docs, trusted))
+
+
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``doc_id``, ``lang``, ``text``, ``text_hash``, ``train`` and ``held`` of every row of ``docs``."""
     ids = trusted.filter(F.col("doc_id").isNotNull()).select("doc_id", F.lit(True).alias("trust")).distinct()
     marked = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("text_hash"))
     marked = marked.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
     trust = F.coalesce("trust", F.lit(False))
-    marked = marked.withColumn("train", trust & ~held).withColumn("held", trust & held).drop("trust")
+    return marked.withColumn("train", trust & ~held).withColumn("held", trust & held).drop("trust")
+
+
+def _entropies(marked: DataFrame, only_held: bool = False) -> DataFrame:
+    """What ``perplexities`` returns, of all rows or of those that are held."""
     known = checkpoint(gram_probabilities(checkpoint(corpus_grams(marked))))
+    marked = marked.filter("held") if only_held else marked
     hot = known.orderBy(F.desc("n"), "gram").limit(HOT).select("gram", "logp").toArrow()
     names = np.array(hot.column("gram").to_pylist(), f"<U{ORDER}")
     keys, logs = hashes(names), hot.column("logp").to_numpy()
     order = np.argsort(keys)
-    table = docs.sparkSession.sparkContext.broadcast((keys[order], logs[order].astype(np.float64)))
+    table = marked.sparkSession.sparkContext.broadcast((keys[order], logs[order].astype(np.float64)))
     found = checkpoint(marked.withColumn("row", F.monotonically_increasing_id()).drop("train").mapInArrow(
         lambda batches: _score(batches, table),
         "row long, doc_id long, lang string, text_hash long, held boolean, length long, logs double, gram string, n long",
@@ -161,31 +172,46 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, slack
     kept when its cross-entropy, smoothed by ``SMOOTH`` characters at the median of its language, is at most
     the ``quantile`` of that language's trusted documents which the model has not seen, and ``slack`` times it more
     (few of them may be at hand, and clean text should stay). A null language counts as one
-    of its own, and a language without such documents takes the quantile of all. A null or empty text has no perplexity
-    and is not kept. Without trusted documents nothing can be told, so every text that is not empty is kept.
-    Repeated rows come out again, as does a null id.
+    of its own. Where one in ten are fewer than ``SUPPORT`` documents, all trusted ones of the language are used, either half judged by a
+    model of the other half and the rest. A language with fewer than ``SUPPORT`` even so has no limit: as with
+    no trusted documents at all nothing can be told, and every text that is not empty is kept. A null or empty text has no perplexity
+    and is not kept. Repeated rows come out again, as does a null id.
     """
-    scored = checkpoint(perplexities(docs, trusted))
-    median = F.percentile_approx("entropy", 0.5, 10_000).alias("median")
+    marked = _marked(docs, trusted)
+    scored = checkpoint(_entropies(marked))
     held = scored.filter("held and entropy is not null")
-    middle = held.groupBy("lang").agg(median).collect()
-    every = held.agg(median).first()["median"]
-    medians = {row["lang"] or "": row["median"] for row in middle}
+    lang = F.coalesce("lang", F.lit(""))
+    own = marked.filter("(train or held) and text <> ''").groupBy(lang.alias("lang"))
+    counts = own.agg(F.countDistinct("doc_id").alias("every"), F.countDistinct(F.when(F.col("held"), F.col("doc_id"))).alias("held"))
+    support = {row["lang"]: row for row in counts.collect()}
+    crossed = [name for name, row in support.items() if row["held"] < SUPPORT <= row["every"]]
+    if crossed:
+        trust, few = F.col("train") | F.col("held"), lang.isin(crossed)
+        parts = [_entropies(_halved(marked.filter(trust), few, half), True) for half in (0, 1)]
+        held = checkpoint(held.filter(~few).unionByName(parts[0].unionByName(parts[1]).filter("entropy is not null")))
+    held = held.filter(lang.isin([name for name, row in support.items() if row["every"] >= SUPPORT]))
+    held = held.withColumn("lang", lang)
+    median = F.percentile_approx("entropy", 0.5, 10_000).alias("median")
+    medians = {row["lang"]: row["median"] for row in held.groupBy("lang").agg(median).collect()}
 
-    def by_lang(values: dict[str, float], other: float | None) -> Column:
+    def by_lang(values: dict[str, float]) -> Column:
         pairs = F.create_map(*[F.lit(x) for pair in ({"": None} | values).items() for x in pair]).cast("map<string,double>")
-        return F.coalesce(F.try_element_at(pairs, F.coalesce("lang", F.lit(""))), F.lit(other).cast("double"))
+        return F.try_element_at(pairs, lang)
 
-    smooth = (F.col("entropy") * F.col("length") + SMOOTH * by_lang(medians, every)) / (F.col("length") + SMOOTH)
-    scored = scored.withColumn("smooth", smooth)
+    smooth = (F.col("entropy") * F.col("length") + SMOOTH * by_lang(medians)) / (F.col("length") + SMOOTH)
     limit = (F.percentile_approx("smooth", quantile, 10_000) * (1 + slack)).alias("limit")
-    held = scored.filter("held and entropy is not null")
-    limits = {row["lang"] or "": row["limit"] for row in held.groupBy("lang").agg(limit).collect()}
-    scored = scored.withColumn("limit", by_lang(limits, held.agg(limit).first()["limit"]))
+    limits = {row["lang"]: row["limit"] for row in held.withColumn("smooth", smooth).groupBy("lang").agg(limit).collect()}
+    scored = scored.withColumn("smooth", smooth).withColumn("limit", by_lang(limits))
     kept = F.col("entropy").isNotNull() & F.coalesce(F.col("smooth") <= F.col("limit"), F.lit(True))
     return scored.select("doc_id", "lang", "text_hash", F.exp("entropy").alias("perplexity"), F.exp("limit").alias("limit"), kept.alias("kept"))
 
 
+def _halved(trusted: DataFrame, few: Column, half: int) -> DataFrame:
+    """Trusted documents, of which those of few languages in one half (by a hash of the id) are held and all others train."""
+    held = few & (F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == half)
+    return trusted.withColumn("held", held).withColumn("train", ~held)
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Documents whose every label says good quality."""
     return labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q > 0").select("doc_id")

@@ -124,6 +124,23 @@ def test_quality_edges(spark, edge, empty):
     assert quality.classify(empty, ids).count() == 0
 
 
+def test_quality_keeps_clean_text_of_languages_with_few_labels(spark):
+    """A language without trusted documents, one with a few, one whose few held-out ones are its most regular."""
+    rng = random.Random(6)
+    text = lambda signs, n: " ".join("".join(rng.choice(signs) for _ in range(4)) for _ in range(n))
+    scripts = {"en": "abcdef", "ja": [chr(0x4E00 + i) for i in range(900)], "el": "αβγδεζηθικλμν", "ru": "абвгдежзик", None: "ابتثجح"}
+    rows = [(lang, text(signs, 30)) for lang, signs in scripts.items() for _ in range(80)]
+    docs = spark.createDataFrame([(i, t, lang, "s", 0) for i, (lang, t) in enumerate(rows)], DOCS)
+    # Of ru, those which the hash of the id holds out repeat two letters; of el, five documents are trusted; of ja and null none.
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
+    docs = docs.withColumn("text", F.when((F.col("lang") == "ru") & held, F.translate("text", "вгдежзик", "абабабаб")).otherwise(F.col("text")))
+    junk = spark.createDataFrame([(1000, text("qwzx@#$%&", 60), "ru", "s", 0)], DOCS)
+    trusted = docs.filter("lang in ('en', 'ru') or doc_id between 160 and 164").select("doc_id")
+    found = {r["doc_id"]: r for r in quality.classify(docs.union(junk).repartition(3), trusted).collect()}
+    assert {i for i, r in found.items() if not r["kept"]} == {1000}
+    assert {r["lang"] for r in found.values() if r["limit"] is None} == {"ja", "el", None}
+
+
 def test_noisy_or():
     assert toxicity.noisy_or(np.array([])) == 0.0
     assert toxicity.noisy_or(np.array([0.0, 0.0])) == pytest.approx(0.75)
