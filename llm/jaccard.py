@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
 from llm.components import components
-from llm.repeats import Rolling
+from llm.words import segment_hashes
 
 SLICE = 1 << 19  # bytes of text that a task reads at a time
 WORDS = 5
@@ -30,7 +30,7 @@ def shingles(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     begins[starts] = True
     first = np.flatnonzero(inside[1:-1] & (~inside[:-2] | begins[:-1]))
     last = np.flatnonzero(inside[1:-1] & (~inside[2:] | begins[1:])) + 1
-    words = Rolling(lower[data]).of(first, last)
+    words = segment_hashes(lower[data], first, last)
     at = np.searchsorted(first, starts)  # each text's first word
     number = np.diff(at)
     step = np.uint64(0x9E3779B97F4A7C15)

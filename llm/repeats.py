@@ -21,22 +21,49 @@ MARK = -1  # in the place of a run's start: says that a digit has other contexts
 A = pa.int64()
 
 
+PRIME = np.uint64((1 << 31) - 1)
+BASES = (1_234_567_891, 987_654_323)  # of the two hashes, whose first 31 and last 31 bits make one
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo 2^31 - 1, for x below 2^62."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return np.where(x == PRIME, np.uint64(0), x)
+
+
 @lru_cache(2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    return tuple(np.multiply.accumulate(np.r_[np.uint64(1), np.full(1 << bits, b, np.uint64)]) for b in (base, pow(base, -1, 1 << 64)))
+def _powers(bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The powers of either base and of its inverse."""
+    tables = []
+    for base in BASES:
+        pair = []
+        for b in (base, pow(base, -1, int(PRIME))):
+            table = np.ones(1, np.uint64)
+            while len(table) <= 1 << bits:
+                table = np.concatenate([table, _reduced(table * np.uint64(pow(b, len(table), int(PRIME))))])
+            pair.append(table)
+        tables.append(tuple(pair))
+    return tables
 
 
 class Rolling:
-    """Hashes of any stretch of some bytes."""
+    """Hashes of any stretch of some bytes: two polynomials modulo the prime 2^31 - 1.
+
+    Modulo 2^64 certain strings would collide whatever the base; here any two stretches of n bytes differ but for n in 2^31 bases of each.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
-        up, self.down = _powers(max(21, int(len(data)).bit_length()))
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(mix(np.arange(1, 257, dtype=np.uint64))[data] * up[: len(data)], out=self.sums[1:])
+        values = _reduced(mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(2))[data]
+        self.parts = []
+        for up, down in _powers(max(21, int(len(data)).bit_length())):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_reduced(values * up[: len(data)]), out=sums[1:])  # below 2^64, as no task has 2^33 bytes at a time
+            self.parts.append((_reduced(sums), down))
 
     def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        return mix((self.sums[last] - self.sums[first]) * self.down[first] + (last - first).astype(np.uint64))
+        high, low = (_reduced((sums[last] + PRIME - sums[first]) % PRIME * down[first]) for sums, down in self.parts)
+        return mix((high << np.uint64(31) | low) ^ ((last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:

@@ -53,48 +53,69 @@ def byte_bpe_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-@lru_cache(2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    inverse = pow(base, -1, 1 << 64)
-    return tuple(np.multiply.accumulate(np.r_[np.uint64(1), np.full(n, b, np.uint64)]) for b in (base, inverse))
-
-
 def segment_hashes(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each stretch [first, last), its length included."""
-    size = 1 << max(12, int(len(points)).bit_length())
-    up, down = _powers(size)
+    """A 64-bit hash of each stretch [first, last), its length included; the stretches come in order and do not overlap.
+
+    Every pair of a character and its place in the stretch has a value of its own, and a hash is the sum of these. A
+    polynomial modulo 2^64 would give equal hashes to certain strings whatever its base.
+    """
+    some = first[first < len(points)]
+    origin = np.zeros(len(points), np.int64)
+    origin[some] = some
+    place = (np.arange(len(points)) - np.maximum.accumulate(origin)).astype(np.uint64)
     sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
-    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    np.cumsum(mix(((place << np.uint64(21)) + points + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
+    return mix(sums[last] - sums[first] + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 class WordCache:
-    """Ids of distinct words. Beyond ``limit`` words it starts anew, so memory stays bounded."""
+    """Ids of distinct words. Beyond ``limit`` words or ``most`` ids it starts anew, and a word of more than ``long``
+    characters is not kept, so memory stays bounded whatever the text."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 500_000) -> None:
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 500_000, most: int = 1 << 22, long: int = 256) -> None:
+        self.encode, self.limit, self.most, self.long = encode, limit, most, long
         self._clear()
 
     def _clear(self) -> None:
         self.slots: dict[int, int] = {}
-        self.start, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.start, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+
+    def _append(self, slots: dict[int, int], base: int, keys: list[int], words: list[str]) -> int:
+        """Ids of new words behind the first ``base`` ones; returns how many there are then."""
+        found = self.encode(words)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        slots.update((key, base + i) for i, key in enumerate(keys))
+        end = base + len(keys)
+        begin = int(self.start[base])
+        self.start, self.flat = _room(self.start, end + 1), _room(self.flat, begin + int(lengths.sum()))
+        self.start[base + 1 : end + 1] = begin + np.cumsum(lengths)
+        self.flat[begin : self.start[end]] = np.fromiter((x for ids in found for x in ids), np.int32, int(lengths.sum()))
+        return end
 
     def ids(self, text: str, points: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words [first, last) of ``text`` end to end, and how many each word has."""
         keys, at, inverse = np.unique(segment_hashes(points, first, last), return_index=True, return_inverse=True)
-        if len(self.slots) + len(keys) > self.limit:
+        if len(self.slots) + len(keys) > self.limit or self.start[len(self.slots)] > self.most:
             self._clear()
-        named = keys.tolist()
-        new = [i for i, key in enumerate(named) if key not in self.slots]
-        if new:
-            where = at[new]
-            found = self.encode([text[a:b] for a, b in zip(first[where].tolist(), last[where].tolist())])
-            base = len(self.slots)
-            self.slots.update((named[i], base + j) for j, i in enumerate(new))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-            self.flat = np.concatenate([self.flat, np.fromiter((x for ids in found for x in ids), np.int32, int(lengths.sum()))])
-        slot = np.fromiter(map(self.slots.__getitem__, named), np.int64, len(named))[inverse]
+        named, lengths = keys.tolist(), (last - first)[at]
+        once: dict[int, int] = {}  # long words, which are forgotten after this call
+        end = len(self.slots)
+        for slots, kind in ((self.slots, lengths <= self.long), (once, lengths > self.long)):
+            new = [i for i in np.flatnonzero(kind).tolist() if named[i] not in slots]
+            if new:
+                where = at[new]
+                words = [text[a:b] for a, b in zip(first[where].tolist(), last[where].tolist())]
+                end = self._append(slots, end, [named[i] for i in new], words)
+        find = {**self.slots, **once}.__getitem__ if once else self.slots.__getitem__
+        slot = np.fromiter(map(find, named), np.int64, len(named))[inverse]
         sizes = self.start[slot + 1] - self.start[slot]
         return self.flat[ranges(self.start[slot], sizes)], sizes
+
+
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with at least twice the room if it is too small."""
+    if size <= len(values):
+        return values
+    larger = np.zeros(max(size, 2 * len(values)), values.dtype)
+    larger[: len(values)] = values
+    return larger

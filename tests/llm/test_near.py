@@ -9,7 +9,7 @@ import pytest
 
 from llm.components import components
 from llm.jaccard import near_duplicates
-from llm.repeats import remove_repeats
+from llm.repeats import Rolling, remove_repeats
 from tests.llm.conftest import edge_rows, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,6 +49,22 @@ def test_jaccard_edges(edge):
     assert components_of(edge) == brute_components([r[:2] for r in edge_rows()])
 
 
+def test_words_that_polynomial_hashes_confuse(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(i, t) for i, t in enumerate((one[:1024], two[:1024], one[:2048], two[:2048], one, two))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert components_of(df) == brute_components(rows)
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    rolling = Rolling(data)
+    for n in (64, 256, 1024, 4096):
+        both = rolling.of(np.array([0, 4096]), np.array([n, 4096 + n]))
+        assert both[0] != both[1]
+        at = np.arange(len(data) - n + 1)
+        hashes = rolling.of(at, at + n)
+        assert len(set(hashes.tolist())) == len({data[i : i + n].tobytes() for i in at.tolist()})
+
+
 def test_jaccard_families_of_every_similarity(spark):
     rng = random.Random(11)
     rows = []

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from llm.packing import binary_pieces, decompose, tokenizer_file, write_buckets
 from llm.pieces import Pieces, decode, encode
+from llm.words import WordCache
 from tests.llm.conftest import edge_rows
 
 BPE, PIECES = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
@@ -19,11 +20,12 @@ def given(spark):
     return rows.withColumn("doc_id", F.col("doc_id") + 1000)
 
 
-def tokenized(texts):
+def tokenized(texts, plain=False):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
+    if plain:
+        tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
@@ -51,6 +53,47 @@ def test_packing_equals_the_tokenizer_cut_by_binary_digits(edge, given):
     assert len(set(sequences)) == len(sequences)
 
 
+#: Thue-Morse words and their complements, on which every polynomial hash modulo 2^64 with an odd base fails.
+def thue_morse(bits):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << bits))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  ", "  <|endoftext|>'s", "<|endoftext|", "a\n \n<|endoftext|>\n", "<<|endoftext|>>"]
+HARD = [w for bits in (10, 11, 12) for w in thue_morse(bits)]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_packing_of_added_tokens_and_words_that_hashes_confuse(spark, plain):
+    texts = SPECIAL + HARD + [f"{a} {b}" for a, b in zip(HARD[::2], HARD[1::2])]
+    want = tokenized(texts, plain)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    have = {}
+    for r in decompose(df, BPE, plain=plain).collect():
+        have.setdefault(r["doc_id"], {})[r["start"]] = np.frombuffer(r["ids"], "<u4").tolist()
+    assert [[x for _, part in sorted(have[i].items()) for x in part] for i in range(len(texts))] == want
+
+
+def test_sentencepiece_of_words_that_hashes_confuse(spark):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    df = spark.createDataFrame(list(enumerate(HARD)), "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["ids"] for r in encode(df, PIECES).collect()} == {i: library.encode(t) for i, t in enumerate(HARD)}
+
+
+def test_the_cache_starts_anew_and_forgets_long_words():
+    rng = __import__("random").Random(3)
+    cache = WordCache(lambda words: [[ord(c) for c in w] for w in words], limit=40, most=300, long=12)
+    for _ in range(60):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 16))) for _ in range(30)]
+        text = "".join(words)
+        ends = np.cumsum([len(w) for w in words])
+        ids, sizes = cache.ids(text, np.array([ord(c) for c in text], np.uint32), ends - [len(w) for w in words], ends)
+        assert ids.tolist() == [ord(c) for c in text] and sizes.tolist() == [len(w) for w in words]
+        assert len(cache.slots) <= 40 and cache.start[len(cache.slots)] <= 300 + 30 * 12
+
+
 def test_buckets_are_written_apart(edge, tmp_path):
     write_buckets(decompose(edge, BPE, longest=64).drop("ids"), str(tmp_path / "b"))
     found = edge.sparkSession.read.parquet(str(tmp_path / "b"))
