@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def store(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """Cut the lineage by a Parquet table in the shared folder, of which later reads take only the columns they need; also what removes it."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def remove() -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    return spark.read.schema(df.schema).parquet(path), remove
+
+
 def type_of(df: DataFrame, column: str) -> str:
     """A column's type as text."""
     return df.schema[column].dataType.simpleString()

@@ -159,7 +159,7 @@ def _model(path: str) -> tuple[Pieces, WordCache]:
 
 
 @lru_cache(2)
-def _spellings(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spellings(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of every piece end to end, where each begins and how many it has."""
     spelt = {NORMAL: lambda p: p.piece.replace(BLANK, " ").encode(), BYTE: lambda p: bytes([int(p.piece[3:5], 16)])}
     spellings = [spelt.get(p.type, lambda _: b"")(p) for p in _read(path).pieces]
@@ -167,6 +167,18 @@ def _spellings(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(spellings), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
+def piece_ids(texts: list[str | None], model: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts end to end, and the n + 1 places where each text's begin."""
+    pieces, cache = _model(model)
+    texts = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
+    points, starts = codepoints(texts)
+    if not len(points):
+        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+    first = pieces.segment_starts(points, starts)
+    ids, sizes = cache.ids("".join(texts), points, first, np.append(first[1:], len(points)))
+    return ids, np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(first, starts)]
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text, without begin or end ids.
 
@@ -176,15 +188,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, cache = _model(model)
         for batch in slices(batches, SLICE):
-            texts = [BLANK + t.replace(" ", BLANK) if t else "" for t in batch.column("text").to_pylist()]
-            points, starts = codepoints(texts)
-            ids, ends = np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-            if len(points):
-                first = pieces.segment_starts(points, starts)
-                ids, sizes = cache.ids("".join(texts), points, first, np.append(first[1:], len(points)))
-                ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(first, starts)]
+            ids, ends = piece_ids(batch.column("text").to_pylist(), model)
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": lists})
 
@@ -198,7 +203,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, begin, sizes = _spellings(model)
+        flat, begin, sizes = spellings(model)
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)
