@@ -41,9 +41,9 @@ def count(points: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.
 
 
 class Tally:
-    """Counts that add up over a task; ``full`` says when to hand them on."""
+    """Counts that add up over a task; ``full`` says when to hand them on. With twice ``limit`` n-grams of 36 bytes it takes some 20 MB."""
 
-    def __init__(self, limit: int = 1_000_000) -> None:
+    def __init__(self, limit: int = 1 << 18) -> None:
         self.limit, self.parts, self.size = limit, [], 0
 
     def add(self, keys: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:

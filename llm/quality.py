@@ -147,21 +147,26 @@ def _score(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]
     for batch in slices(batches, SLICE):
         points, starts, ends = _points(batch.column("text").to_pylist())
         of = np.searchsorted(starts, ends, "right") - 1
-        at = hot.find(rolling(points, ORDER)[ends - ORDER + 1])
+        hashed = rolling(points, ORDER)[ends - ORDER + 1]
+        at = hot.find(hashed)
         n = len(batch)
         sums = np.bincount(of[at >= 0], logs[at[at >= 0]], n)
         empty = pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())
         yield pa.record_batch([*[batch.column(c) for c in carried], pa.array(np.bincount(of, minlength=n)), pa.array(sums), *empty],
                               names=[*carried, "length", "logs", "gram", "n"])
         if len(missed := np.flatnonzero(at < 0)):
-            windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends[missed] - ORDER + 1]
+            missed = missed[np.lexsort((hashed[missed], of[missed]))]
+            new = np.ones(len(missed), bool)
+            new[1:] = (np.diff(hashed[missed]) != 0) | (np.diff(of[missed]) != 0)
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(missed)))
+            windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends[missed[first]] - ORDER + 1]
             grams = np.ascontiguousarray(windows).view(f"<U{ORDER}").ravel()
-            pairs, times = np.unique(np.rec.fromarrays([of[missed], grams], names="of,gram"), return_counts=True)
-            m = len(pairs)
+            m = len(first)
             yield pa.record_batch({
-                "row": batch.column("row").take(pa.array(pairs.of)), "doc_id": pa.nulls(m, pa.int64()), "lang": pa.nulls(m, pa.string()),
+                "row": batch.column("row").take(pa.array(of[missed[first]])), "doc_id": pa.nulls(m, pa.int64()), "lang": pa.nulls(m, pa.string()),
                 "text_hash": pa.nulls(m, pa.int64()), "held": pa.nulls(m, pa.bool_()), "length": pa.nulls(m, pa.int64()),
-                "logs": pa.nulls(m, pa.float64()), "gram": pa.array(pairs.gram.tolist(), pa.string()), "n": pa.array(times),
+                "logs": pa.nulls(m, pa.float64()), "gram": pa.array(grams.tolist(), pa.string()), "n": pa.array(times),
             })
 
 

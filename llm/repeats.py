@@ -43,7 +43,7 @@ def _powers(bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
             while len(table) <= 1 << bits:
                 table = np.concatenate([table, _reduced(table * np.uint64(pow(b, len(table), int(PRIME))))])
             pair.append(table)
-        tables.append(tuple(pair))
+        tables.append(tuple(t.astype(np.uint32) for t in pair))
     return tables
 
 
@@ -59,10 +59,10 @@ class Rolling:
         for up, down in _powers(max(21, int(len(data)).bit_length())):
             sums = np.zeros(len(data) + 1, np.uint64)
             np.cumsum(_reduced(values * up[: len(data)]), out=sums[1:])  # below 2^64, as no task has 2^33 bytes at a time
-            self.parts.append((_reduced(sums), down))
+            self.parts.append((_reduced(sums).astype(np.uint32), down))
 
     def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        high, low = (_reduced((sums[last] + PRIME - sums[first]) % PRIME * down[first]) for sums, down in self.parts)
+        high, low = (_reduced(_reduced(sums[last] + (PRIME - sums[first])) * down[first]) for sums, down in self.parts)
         return mix((high << np.uint64(31) | low) ^ ((last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 

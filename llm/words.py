@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -77,37 +78,42 @@ class WordCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.start, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by key; a slot is a word's place below
+        self.count, self.start, self.flat = 0, np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
 
-    def _append(self, slots: dict[int, int], base: int, keys: list[int], words: list[str]) -> int:
-        """Ids of new words behind the first ``base`` ones; returns how many there are then."""
+    def _append(self, words: list[str]) -> np.ndarray:
+        """Put the ids of more words behind the others; returns the words' slots."""
         found = self.encode(words)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        slots.update((key, base + i) for i, key in enumerate(keys))
-        end = base + len(keys)
+        base, end = self.count, self.count + len(words)
         begin = int(self.start[base])
         self.start, self.flat = _room(self.start, end + 1), _room(self.flat, begin + int(lengths.sum()))
         self.start[base + 1 : end + 1] = begin + np.cumsum(lengths)
-        self.flat[begin : self.start[end]] = np.fromiter((x for ids in found for x in ids), np.int32, int(lengths.sum()))
-        return end
+        self.flat[begin : self.start[end]] = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        self.count = end
+        return np.arange(base, end)
 
     def ids(self, text: str, points: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words [first, last) of ``text`` end to end, and how many each word has."""
         keys, at, inverse = np.unique(segment_hashes(points, first, last), return_index=True, return_inverse=True)
-        if len(self.slots) + len(keys) > self.limit or self.start[len(self.slots)] > self.most:
+        if self.count + len(keys) > self.limit or self.start[self.count] > self.most:
             self._clear()
-        named, lengths = keys.tolist(), (last - first)[at]
-        once: dict[int, int] = {}  # long words, which are forgotten after this call
-        end = len(self.slots)
-        for slots, kind in ((self.slots, lengths <= self.long), (once, lengths > self.long)):
-            new = [i for i in np.flatnonzero(kind).tolist() if named[i] not in slots]
-            if new:
-                where = at[new]
-                words = [text[a:b] for a, b in zip(first[where].tolist(), last[where].tolist())]
-                end = self._append(slots, end, [named[i] for i in new], words)
-        find = {**self.slots, **once}.__getitem__ if once else self.slots.__getitem__
-        slot = np.fromiter(map(find, named), np.int64, len(named))[inverse]
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        slot = np.empty(len(keys), np.int64)
+        slot[known] = self.slots[place[known]]
+        short = (last - first)[at] <= self.long
+        kept = self.count
+        for new in (np.flatnonzero(~known & short), np.flatnonzero(~known & ~short)):  # long words last, as they are forgotten again
+            if len(new):
+                slot[new] = self._append([text[a:b] for a, b in zip(first[at[new]].tolist(), last[at[new]].tolist())])
+                if short[new[0]]:
+                    self.keys, self.slots = np.insert(self.keys, place[new], keys[new]), np.insert(self.slots, place[new], slot[new])
+                    kept = self.count
+        self.count = kept
+        slot = slot[inverse]
         sizes = self.start[slot + 1] - self.start[slot]
         return self.flat[ranges(self.start[slot], sizes)], sizes
 

@@ -91,7 +91,7 @@ def test_the_cache_starts_anew_and_forgets_long_words():
         ends = np.cumsum([len(w) for w in words])
         ids, sizes = cache.ids(text, np.array([ord(c) for c in text], np.uint32), ends - [len(w) for w in words], ends)
         assert ids.tolist() == [ord(c) for c in text] and sizes.tolist() == [len(w) for w in words]
-        assert len(cache.slots) <= 40 and cache.start[len(cache.slots)] <= 300 + 30 * 12
+        assert len(cache.keys) == cache.count <= 40 and cache.start[cache.count] <= 300 + 30 * 12
 
 
 def test_buckets_are_written_apart(edge, tmp_path):
