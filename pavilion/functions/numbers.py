@@ -8,13 +8,19 @@ from pyspark.sql.types import DataType, IntegerType, StringType
 def whole_number(c: Column) -> Column:
     """The int that a text stands for, spaces around it aside; null for any other text.
 
-    ``2.0`` and ``1e3`` are whole numbers too; ``2.5`` and what no int can hold are not.
+    ``2.0`` and ``1e3`` are whole numbers too; ``2.5``, ``2.0000000001``, ``1e-10`` and what no int can hold are not. A number
+    with an exponent may have up to 27 digits before it: so many a decimal holds without rounding, unless it is too small, which
+    shows as a zero that is not written as one.
     """
     text = F.trim(c)
-    number = text.try_cast("decimal(38,9)")
+    number = text.try_cast("decimal(38,27)")
+    exact = text.rlike("^[+-]?([0-9][.]?){1,27}[eE]|^[+-]?[.][0-9]{1,27}[eE]") & (number == F.floor(number))
+    exact = exact & ((number != 0) | text.rlike("^[+-]?[0.]+[eE]"))
     # A failed cast costs far more than the tests that spare it.
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int")).when(
-        text.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$") & (number == F.floor(number)), number.try_cast("int")
+    return (
+        F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+        .when(text.rlike("^[+-]?([0-9]+[.]0*|[.]0+)$"), F.concat(F.regexp_extract(text, "^[+-]?[0-9]*", 0), F.when(text.rlike("^[+-]?[.]"), "0").otherwise("")).try_cast("int"))
+        .when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]+$") & exact, number.try_cast("int"))
     )
 
 

@@ -7,7 +7,7 @@ from operator import add
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from pavilion.functions import is_blank, whole_number
@@ -88,6 +88,11 @@ def as_text(schema: StructType) -> StructType:
 UNREADABLE = "__unreadable"
 
 
+def _lost(c: str) -> Column:
+    """Whether a cell of an int column holds something that is not read."""
+    return whole_number(F.col(c)).isNull() & ~is_blank(F.col(c))
+
+
 def typed(df: DataFrame, schema: StructType, count: bool = False) -> DataFrame:
     """A table read as text under its declared types: whole numbers are read, anything else in an int column is null.
 
@@ -96,18 +101,12 @@ def typed(df: DataFrame, schema: StructType, count: bool = False) -> DataFrame:
     ints = [f.name for f in schema if isinstance(f.dataType, IntegerType)]
     columns = [(whole_number(F.col(f.name)) if f.name in ints else F.col(f.name)).alias(f.name) for f in schema]
     if count:
-        lost = [(whole_number(F.col(c)).isNull() & ~is_blank(F.col(c))).cast("int") for c in ints]
-        columns.append(reduce(add, lost, F.lit(0)).alias(UNREADABLE))
+        columns.append(reduce(add, [_lost(c).cast("int") for c in ints], F.lit(0)).alias(UNREADABLE))
     return df.select(*columns)
 
 
 def cast_losses(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Per int column of a CSV, how many non-empty cells a declared read turns into null."""
+    """Per int column of a CSV, how many cells ``typed`` cannot read."""
     raw = read_table(spark, path, "csv", as_text(schema))
     ints = [f.name for f in schema if isinstance(f.dataType, IntegerType)]
-    lost = [
-        F.when(F.col(c).rlike(r"^[+-]?[0-9]+$") & F.col(c).try_cast("int").isNotNull(), 0)
-        .when(F.col(c).isNotNull(), 1).otherwise(0).alias(c)
-        for c in ints
-    ]
-    return totals_by_column(raw.select(*lost), ints, name="column", total="lost")
+    return totals_by_column(raw.select(*[_lost(c).cast("int").alias(c) for c in ints]), ints, name="column", total="lost")

@@ -75,6 +75,48 @@ def running_totals_by_date(spark, sf_dir):
     return running_total(rows, ["l_suppkey"], "day", "runs", "running_total", block=90)
 
 
+@query("""
+    select distinct o_custkey, o_orderkey * o_orderkey * 1000003 as place, cast(sum(cast(floor(o_totalprice) as bigint)) over (
+        partition by o_custkey order by o_orderkey * o_orderkey * 1000003) as bigint) as running_total
+    from orders
+""")
+def running_totals_sparse(spark, sf_dir):
+    """Order values far apart: hardly two of them lie in one block of the lowest level."""
+    rows = given(spark, sf_dir, "orders").select(
+        "o_custkey", (F.col("o_orderkey") * F.col("o_orderkey") * 1000003).alias("place"), F.floor("o_totalprice").alias("price")
+    )
+    return running_total(rows, ["o_custkey"], "place", "price", "running_total")
+
+
+@query("""
+    select distinct event_type, epoch_us(ts) as micros, cast(sum(cast(floor(value) as bigint)) over (
+        partition by event_type order by ts) as bigint) as running_total
+    from events
+""")
+def running_totals_by_time(spark, sf_dir):
+    rows = given(spark, sf_dir, "events").select("event_type", "ts", F.floor("value").alias("points"))
+    totals = running_total(rows, ["event_type"], "ts", "points", "running_total", block=4096)
+    return totals.select("event_type", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts)").alias("micros"), "running_total")
+
+
+@query("""
+    select distinct o_orderpriority, o_totalprice, cast(count(*) over (partition by o_orderpriority order by o_totalprice) as bigint) as running_total
+    from orders
+""")
+def running_totals_by_price(spark, sf_dir):
+    """Ordered by a double: ranges cut at sampled values."""
+    rows = given(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice", F.lit(1).alias("one"))
+    return running_total(rows, ["o_orderpriority"], "o_totalprice", "one", "running_total", ranges=64)
+
+
+@query("""
+    select distinct p_brand, p_name, cast(sum(p_size) over (partition by p_brand order by p_name) as bigint) as running_total from part
+""")
+def running_totals_by_name(spark, sf_dir):
+    """Ordered by a string."""
+    return running_total(given(spark, sf_dir, "part"), ["p_brand"], "p_name", "p_size", "running_total", ranges=8)
+
+
 @query("""
     select a.l_suppkey, s.s_name, a.season, a.total_runs
     from (select l_suppkey, cast(year(l_shipdate) as int) as season,

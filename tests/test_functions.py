@@ -87,3 +87,18 @@ def test_names_and_styles(spark):
 def test_season_taken_off_as_days(spark):
     as_of = F.lit("2026-12-03").cast("date")
     assert apply(spark, [2010, None], lambda c: year_after_days_back(as_of, c), "int") == [2021, None]
+
+
+WHOLE = {
+    "2.0000000001": None, "1e-10": None, "1e-40": None, "0e-40": 0, "0.0e5": 0, "2.": 2, ".0": 0, "-.0": 0, ".": None, "+7.000000000000000000000000000000000000000000": 7,
+    "2.5e1": 25, "25e-1": None, "20e-1": 2, "1e3": 1000, "1E+3": 1000, "2147483647": 2147483647, "2147483648": None, "2147483648.0": None, "2.147483647e9": 2147483647,
+    "2147483647000000000e-9": 2147483647, "1e99": None, " 12 ": 12, "": None, "x": None, "1e": None, "1.2.3e1": None, "-3.0": -3, "1.000000000000000000000000001": None, "1.000000000000000000000000001e0": None,
+    "0.999999999999999999999999999e0": None, "1" + "0" * 30 + "e-30": None, "000000000000000000000000000000000000005.0": 5,
+}
+
+
+def test_whole_numbers(spark):
+    from pavilion.functions import whole_number
+
+    df = spark.createDataFrame([(t,) for t in [*WHOLE, None]], "t string")
+    assert {r["t"]: r["n"] for r in df.select("t", whole_number(F.col("t")).alias("n")).collect()} == {**WHOLE, None: None}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pavilion.operators import (
     best_per_group, density, distinct_values, drop_empty_rows, group_mean, histogram, joined_mean, keep_one,
-    lookup_codes, lookup_left, mean_of_group_sums, ranked, require_keys, rows_where_zero, running_total,
+    lookup_codes, lookup_left, mean_of_group_sums, non_finite_counts, ranked, require_keys, rows_where_zero, running_total,
     totals_by_column, value_counts,
 )
 
@@ -49,13 +49,54 @@ def test_running_total_with_one_hot_group(spark):
     assert hot.agg(F.max("t"), F.count("*")).first() == (20_000, 1000)
 
 
-def test_running_total_orders_by_dates_and_refuses_text(spark):
+def test_running_total_orders_by_dates_and_refuses_lists(spark):
     df = spark.createDataFrame(
         [(1, datetime.date(2020, 1, 1), 2), (1, datetime.date(2021, 1, 1), 3), (1, datetime.date(2021, 1, 1), 4)],
         "k int, d date, v int")
     assert sorted(r.t for r in running_total(df, ["k"], "d", "v", "t", block=30).collect()) == [2, 9]
     with pytest.raises(TypeError):
-        running_total(df.withColumn("d", F.col("d").cast("string")), ["k"], "d", "v", "t")
+        running_total(df.withColumn("d", F.array("d")), ["k"], "d", "v", "t")
+
+
+#: An order value of the type for a whole number; several numbers share one.
+ORDERED = {
+    "timestamp": "timestamp_micros(cast(o * 7777777777 as bigint))", "timestamp_ntz": "cast(timestamp_micros(cast(o * 7777777777 as bigint)) as timestamp_ntz)",
+    "boolean": "o > 0", "decimal(12,3)": "cast(o * 7.125 as decimal(12,3))", "decimal(38,9)": "cast(o as decimal(38,9)) * 1000000000000000000000",
+    "double": "case o when 29 then double('NaN') when 28 then double('inf') when -9 then double('-inf') when 0 then -0.0D else o / 3D end",
+    "float": "cast(o as float)", "string": "concat(case when o < 0 then 'a' else 'b' end, lpad(cast(o + 20 as string), 3, 'ü'))", "binary": "cast(cast(o + 50 as string) as binary)",
+    "bigint": "cast(o as bigint) * 300000000000000000",
+}
+
+
+@pytest.mark.parametrize("kind", list(ORDERED))
+@pytest.mark.parametrize("ranges", [4, 64])
+def test_running_total_over_any_order(spark, kind, ranges):
+    """Against one window per group, the whole of it in one task."""
+    draw = random.Random(8)
+    data = [(draw.choice([1, 1, 1, 2, None]), draw.choice([None, *range(-9, 30)]), draw.choice([None, 1, 2, 5])) for _ in range(900)]
+    df = spark.createDataFrame(data, "a int, n int, v int").selectExpr("a", f"transform(array(n), o -> {ORDERED[kind]})[0] as o", "v")
+    assert dict(df.dtypes)["o"].split("(")[0] == kind.split("(")[0]
+    whole = df.selectExpr("a", "o", "sum(v) over (partition by a order by o) as t").distinct()
+    if dict(df.dtypes)["o"] in ("double", "float"):
+        whole = whole.withColumn("o", F.col("o") + 0.0)
+    found = running_total(df, ["a"], "o", "v", "t", block=1 << 14, ranges=ranges)
+    if dict(df.dtypes)["o"] in ("double", "float"):
+        found = found.withColumn("o", F.col("o") + 0.0)
+    text = F.col("o").cast("string")
+    assert sorted(map(repr, rows(found.select("a", text, "t")))) == sorted(map(repr, rows(whole.select("a", text, "t"))))
+
+
+def test_no_range_holds_more_than_its_share(spark):
+    """One group has a third of all rows and every value is its own."""
+    from pavilion.operators.running import _AT, _blocks_of_ranges
+
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, 0, id) as k", "cast(xxhash64(id) as double) as o", "1 as v")
+    steps = df.selectExpr("k", f"o as {_AT}")
+    (block,) = _blocks_of_ranges(steps, df.schema["o"].dataType, ["k"], 64)
+    sizes = [r["count"] for r in steps.groupBy(block.alias("b")).count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 60_000 / 64
+    totals = running_total(df, ["k"], "o", "v", "t", ranges=64).filter("k = 0")
+    assert totals.agg(F.max("t"), F.count_distinct("t")).first() == (20_000, 20_000)
 
 
 def test_keep_one_does_not_depend_on_partitions(spark):
@@ -140,6 +181,21 @@ def test_histogram_of_equal_values_and_of_none(spark):
     assert [r["count"] for r in histogram(same.limit(0), "v", 4).collect()] == [0, 0, 0, 0]
 
 
+def test_nan_and_infinities_are_counted_apart(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [1.0, 2.0, 2.5, 5.0, nan, nan, inf, -inf, -inf, -inf, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = histogram(df, "v", 4).orderBy("bin").collect()
+    assert [(r["bin"], r["count"]) for r in got] == [(0, 3), (1, 1), (2, 2), (3, 0), (4, 1), (5, 1), (6, 2)]
+    assert [r["lo"] for r in got[:-1]] == [-inf, 1.0, 2.0, 3.0, 4.0, inf] and got[-1]["lo"] != got[-1]["lo"]
+    finite = df.filter("v between 1 and 5")
+    assert rows(density(df, "v", 10).orderBy("i")) == rows(density(finite, "v", 10).orderBy("i"))
+    assert rows(non_finite_counts(df, "v")) == [(2, 1, 3)]
+    none = df.filter("v is null or isnan(v) or v = double('inf')")
+    assert [(r["bin"], r["count"]) for r in histogram(none, "v", 2).orderBy("bin").collect()] == [(1, 0), (2, 0), (3, 1), (4, 2)]
+    assert density(none, "v", 10).count() == 0
+
+
 @pytest.mark.parametrize("size", [40, 20_000])
 def test_density_matches_numpy(spark, size):
     values = np.round(np.random.default_rng(5).normal(50, 20, size), 2)
