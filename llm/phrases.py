@@ -1,22 +1,26 @@
 """Phrase collocations: frequent n-grams by Misra-Gries summaries, counted exactly in a second pass."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from llm.common import given, mix, query, ranges, slices, store, utf8
+from llm.common import given, mix, query, slices, store, utf8
 from llm.words import segment_hashes
 
 SLICE = 1 << 20  # bytes of text that a task reads at a time
-HELD = 1 << 21  # n-grams that a task gathers before it hands its summaries on
+HELD = 1 << 20  # n-grams that a task gathers before it hands its summaries on
 PARTS, PART_BYTES = 1024, 1 << 24  # hash partitions at least, and text per hash partition
 SLACK = 2  # counters of a summary, as a multiple of mass / threshold
 MERGED = 1 << 15  # counters that a merge takes in at least
 CHUNKS, CHUNK_BITS = 256, 1 << 18  # of the table of survivors: 8 MB, whatever the input
+KEPT = 42  # leading bits of a hash that summaries tell n-grams apart by; if two share them, both survive, and are counted exactly
 PHRASES = 1 << 19  # phrases that a task counts before it hands them on
+BUCKETS = 256  # groups of phrases at least, of which one is counted at a time
 RANKED = 500_000  # phrases of one language that one task ranks
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 UNKNOWN = "und"
@@ -60,15 +64,16 @@ class Words:
         return b" ".join([self.data[a:b].tobytes() for a, b in zip(self.first[at : at + n].tolist(), self.last[at : at + n].tolist())])
 
 
-def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The chunk of each hash in the table of survivors, and its two bits there."""
+def _probes(kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chunk of the first ``KEPT`` bits of each hash in the table of survivors, and its two bits there."""
     width = np.uint64(CHUNK_BITS.bit_length() - 1)
     mask = np.uint64(CHUNK_BITS - 1)
-    return (hashes >> np.uint64(56)).astype(np.int64), (hashes & mask).astype(np.int64), (hashes >> width & mask).astype(np.int64)
+    spread = mix(kept + np.uint64(1))
+    return (spread >> np.uint64(56)).astype(np.int64), (spread & mask).astype(np.int64), (spread >> width & mask).astype(np.int64)
 
 
 def _survives(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    chunk, one, two = _probes(hashes)
+    chunk, one, two = _probes(hashes >> np.uint64(64 - KEPT))
     base = chunk * (CHUNK_BITS // 8)
     both = table[base + (one >> 3)] >> (one & 7).astype(np.uint8) & table[base + (two >> 3)] >> (two & 7).astype(np.uint8)
     return (both & 1).astype(bool)
@@ -84,7 +89,7 @@ def _marked(words: Words, n: int, langs: np.ndarray, tables: list[np.ndarray]) -
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], n: int, bits: int, shared: list) -> Iterator[pa.RecordBatch]:
-    """A task's summary of each hash partition, as binary keys and counts, and its mass on a row of its own that sorts before."""
+    """A task's summary of each hash partition, as binary keys (the bits behind the partition's) and counts, and its mass on a row of its own that sorts before."""
     tables, held, size = [s.value for s in shared], [], 0
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -98,8 +103,11 @@ def _summaries(batches: Iterator[pa.RecordBatch], n: int, bits: int, shared: lis
         mass = np.add.reduceat(counts, cuts) if len(cuts) else counts
         rows = len(cuts)
         lengths = np.diff(np.append(cuts, len(part)))
-        ends = np.concatenate([np.zeros(rows + 1, np.int64), np.cumsum(8 * lengths)]).astype(np.int32)
-        blocks = [pa.Array.from_buffers(pa.binary(), 2 * rows, [None, pa.py_buffer(ends), pa.py_buffer(values)]) for values in (keys, counts)]
+        short = (keys >> np.uint64(64 - KEPT) & np.uint64((1 << KEPT - bits) - 1)).astype(_key_type(bits))
+        blocks = []
+        for values in (short, counts.astype(np.uint32)):  # a task has fewer n-grams than 2^32
+            ends = np.concatenate([np.zeros(rows + 1, np.int64), np.cumsum(values.itemsize * lengths)]).astype(np.int32)
+            blocks.append(pa.Array.from_buffers(pa.binary(), 2 * rows, [None, pa.py_buffer(ends), pa.py_buffer(values)]))
         return pa.record_batch({
             "part": pa.array(np.tile(part[cuts], 2)), "kind": pa.array(np.repeat(np.array([0, 1], np.int32), rows)),
             "mass": pa.array(np.tile(mass, 2)), "keys": blocks[0], "counts": blocks[1],
@@ -121,6 +129,10 @@ def _summaries(batches: Iterator[pa.RecordBatch], n: int, bits: int, shared: lis
         yield hand_on(*merged())
 
 
+def _key_type(bits: int) -> type:
+    return np.uint32 if KEPT - bits <= 32 else np.uint64
+
+
 class Summary:
     """A Misra-Gries summary: at most ``capacity`` counters, each short of the true count by ``error`` at most."""
 
@@ -154,30 +166,36 @@ class Summary:
         return self.keys[self.counts + self.error >= threshold]
 
 
-def _merged(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """The survivors of each hash partition, whose rows come in a row, masses first."""
+def _merged(batches: Iterator[pa.RecordBatch], threshold: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """The survivors of each hash partition, whose rows come in a row, masses first, and the chunk of each in the table of survivors."""
     part, mass, summary = None, 0, None
+    kinds = _key_type(bits), np.uint32
+
+    def out() -> pa.RecordBatch:
+        kept = np.uint64(part << KEPT - bits) + summary.survivors(threshold).astype(np.uint64)
+        return pa.record_batch({"chunk": pa.array(_probes(kept)[0]), "kept": pa.array(kept.view(np.int64))})
+
     for batch in batches:
         blocks = [batch.column(c) for c in ("keys", "counts")]
         for i, (own, kind, weight) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("part", "kind", "mass")])):
             if own != part:
                 if summary:
-                    yield pa.record_batch({"hash": pa.array(summary.survivors(threshold).view(np.int64))})
+                    yield out()
                 part, mass, summary = own, 0, None
             if not kind:
                 mass += weight
                 continue
             summary = summary or Summary(SLACK * mass // threshold + 1)
-            summary.add(*[np.frombuffer(block[i].as_buffer(), kind) for block, kind in zip(blocks, (np.uint64, np.int64))])
+            summary.add(*[np.frombuffer(block[i].as_buffer(), of) for block, of in zip(blocks, kinds)])
     if summary:
-        yield pa.record_batch({"hash": pa.array(summary.survivors(threshold).view(np.int64))})
+        yield out()
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chunks of the table of survivors that the task's hashes lie in."""
     chunks: dict[int, np.ndarray] = {}
     for batch in batches:
-        chunk, one, two = _probes(batch.column("hash").to_numpy().view(np.uint64))
+        chunk, one, two = _probes(batch.column("kept").to_numpy().view(np.uint64))
         for c in np.unique(chunk).tolist():
             table = chunks.setdefault(c, np.zeros(CHUNK_BITS, bool))
             table[one[chunk == c]] = True
@@ -191,8 +209,8 @@ def survivors(rows: DataFrame, n: int, threshold: int, bits: int, shared: list)
     made = rows.select("text", "lang_hash").mapInArrow(
         lambda b: _summaries(b, n, bits, shared), "part long, kind int, mass long, keys binary, counts binary"
     )
-    found = made.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(lambda b: _merged(b, threshold), "hash long")
-    chunks = found.repartition(F.shiftrightunsigned("hash", 56)).mapInArrow(_bits, "chunk int, bits binary").collect()
+    found = made.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(lambda b: _merged(b, threshold, bits), "chunk long, kept long")
+    chunks = found.repartition("chunk").mapInArrow(_bits, "chunk int, bits binary").collect()
     table = np.zeros(CHUNKS * CHUNK_BITS // 8, np.uint8)
     for row in chunks:
         at = row["chunk"] * (CHUNK_BITS // 8)
@@ -200,48 +218,101 @@ def survivors(rows: DataFrame, n: int, threshold: int, bits: int, shared: list)
     return table
 
 
-def _counted(batches: Iterator[pa.RecordBatch], longest: int, shared: list) -> Iterator[pa.RecordBatch]:
-    """Phrases that may be frequent with how often the task has them, and the words of each language as the phrase of size 0."""
+class Tally:
+    """Counts of phrases by hash, with the text of each kept once."""
+
+    def __init__(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by key; a slot is a phrase's place below
+        self.phrases: list[bytes] = []
+        self.langs: list[int] = []
+        self.counts = np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, phrase: Callable[[int], tuple[int, bytes]]) -> None:
+        """Counts of distinct keys in order; ``phrase`` gives the language's number and the text of one by its place among them."""
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        new = np.flatnonzero(~known)
+        slots = len(self.phrases) + np.arange(len(new))
+        for i in new.tolist():
+            lang, text = phrase(i)
+            self.phrases.append(text)
+            self.langs.append(lang)
+        if len(self.phrases) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros(max(len(self.phrases), 1 << 14), np.int64)])
+        self.counts[self.slots[place[known]]] += counts[known]
+        self.counts[slots] = counts[new]
+        self.keys, self.slots = np.insert(self.keys, place[new], keys[new]), np.insert(self.slots, place[new], slots)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], longest: int, shared: list, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Phrases that may be frequent with how often the task has them, in blocks of one bucket and language, and the words of each language."""
     tables = [s.value for s in shared]
-    slots: dict[int, int] = {}
-    names: list[tuple[str, bytes, int]] = []
-    totals = np.zeros(0, np.int64)
-    words_of: dict[str, int] = {}
+    squeeze = zstandard.ZstdCompressor()
+    tally, names, words_of = Tally(), {}, []
 
     def hand_on() -> pa.RecordBatch:
-        langs, phrases, sizes = zip(*names) if names else ((), (), ())
-        every = [*totals[: len(names)].tolist(), *words_of.values()]
+        lang_of, total = np.array(tally.langs, np.int64), len(tally.phrases)
+        bucket = np.empty(total, np.int64)
+        bucket[tally.slots] = (tally.keys >> np.uint64(32)).astype(np.int64) % buckets
+        order = sorted(range(total), key=tally.phrases.__getitem__)  # equal beginnings together, as they take less room
+        order = np.array(order, np.int64)
+        order = order[np.lexsort((lang_of[order], bucket[order]))]
+        cuts = np.flatnonzero((np.diff(bucket[order], prepend=-1) != 0) | (np.diff(lang_of[order], prepend=-1) != 0))
+        rows = [
+            (int(bucket[some[0]]), int(lang_of[some[0]]), squeeze.compress(b"\n".join([tally.phrases[i] for i in some.tolist()])), tally.counts[some].tobytes())
+            for some in np.split(order, cuts[1:]) if len(some)
+        ]
+        every = list(names)
         return pa.record_batch({
-            "lang": pa.array([*langs, *words_of], pa.string()), "phrase": pa.array([*phrases, *[b""] * len(words_of)], pa.binary()).cast(pa.string()),
-            "size": pa.array([*sizes, *[0] * len(words_of)], pa.int32()), "n": pa.array(every, pa.int64()),
+            "bucket": pa.array([*[r[0] for r in rows], *[None] * len(every)], pa.int64()), "lang": pa.array([*[every[r[1]] for r in rows], *every], pa.string()),
+            "phrases": pa.array([*[r[2] for r in rows], *[None] * len(every)], pa.binary()), "counts": pa.array([*[r[3] for r in rows], *[None] * len(every)], pa.binary()),
+            "words": pa.array([*[None] * len(rows), *words_of], pa.int64()),
         })
 
     for batch in slices(batches, SLICE):
         words, langs = Words(*utf8(batch.column("text"))), batch.column("lang_hash").to_numpy().view(np.uint64)
-        lang = batch.column("lang").to_pylist()
-        for i, number in enumerate(np.bincount(words.text, minlength=len(batch)).tolist()):
-            if number:
-                words_of[lang[i]] = words_of.get(lang[i], 0) + number
+        number = np.array([names.setdefault(x, len(names)) for x in batch.column("lang").to_pylist()], np.int64)
+        words_of += [0] * (len(names) - len(words_of))
+        for i, some in enumerate(np.bincount(number[words.text], minlength=len(names)).tolist()):
+            words_of[i] += some
         for n in range(1, longest + 1):
             hashes = words.grams(n, langs)
             at = np.flatnonzero(_marked(words, n, langs, tables))
             at = at[_survives(tables[n - 1], hashes[at])]
             keys, first, counts = np.unique(hashes[at], return_index=True, return_counts=True)
-            named = keys.tolist()
-            new = [i for i, key in enumerate(named) if key not in slots]
-            for i in new:
-                place = int(at[first[i]])
-                slots[named[i]] = len(names)
-                names.append((lang[words.text[place]], words.phrase(place, n), n))
-            if len(names) > len(totals):
-                totals = np.concatenate([totals, np.zeros(max(len(names), 1 << 14), np.int64)])
-            totals[np.fromiter(map(slots.__getitem__, named), np.int64, len(named))] += counts
-        if len(names) > PHRASES or len(words_of) > PHRASES:
+            tally.add(keys, counts, lambda i: (int(number[words.text[at[first[i]]]]), words.phrase(int(at[first[i]]), n)))  # noqa: B023
+        if len(tally.phrases) > PHRASES or len(names) > PHRASES:
             yield hand_on()
-            slots, names, totals, words_of = {}, [], np.zeros(0, np.int64), {}
+            tally, names, words_of = Tally(), {}, []
     yield hand_on()
 
 
+def _added(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """The frequent phrases of each bucket and language, whose blocks come in a row."""
+    expand = zstandard.ZstdDecompressor()
+    at, held = None, []
+
+    def out() -> pa.RecordBatch:
+        summed = pa.concat_tables(held).group_by("phrase").aggregate([("n", "sum")])
+        summed = summed.filter(pc.greater_equal(summed["n_sum"], threshold)).combine_chunks()
+        phrase = summed["phrase"].cast(pa.string()).combine_chunks()
+        size = pc.add(pc.count_substring(phrase, " "), 1).cast(pa.int32())
+        return pa.record_batch({"lang": pa.repeat(pa.scalar(at[1], pa.string()), len(phrase)), "phrase": phrase, "size": size, "f": summed["n_sum"].combine_chunks()})
+
+    for batch in batches:
+        for bucket, lang, phrases, counts in zip(*[batch.column(c).to_pylist() for c in ("bucket", "lang", "phrases", "counts")]):
+            if (bucket, lang) != at:
+                if held:
+                    yield out()
+                at, held = (bucket, lang), []
+            texts = pa.array(expand.decompress(phrases).split(b"\n"), pa.binary())
+            held.append(pa.table({"phrase": texts, "n": pa.array(np.frombuffer(counts, np.int64))}))
+    if held:
+        yield out()
+
+
 def frequent_phrases(docs: DataFrame, threshold: int = 30, longest: int = 4) -> DataFrame:
     """``lang``, ``phrase``, ``size`` (in words) and ``f``: every phrase of up to ``longest`` words that occurs ``threshold`` times
     in a language, counted exactly, and on a row of size 0 how many words the language has.
@@ -254,8 +325,9 @@ def frequent_phrases(docs: DataFrame, threshold: int = 30, longest: int = 4) ->
     per partition as Misra-Gries summaries whose capacity exceeds the partition's mass / ``threshold``, and so every
     frequent n-gram survives. (A task's own share of a partition is below that capacity, so its summary is complete.) An n-gram goes
     in only if the two shorter ones in it survived. Survivors make a Bloom filter of fixed size that is broadcast; its false
-    positives cost time only. Second pass: all that pass it are counted exactly, by text. Every row of a
-    summary stands for a task, so no n-gram is hot. N-grams are told apart by 64-bit hashes within a task, by their text beyond.
+    positives cost time only. Second pass: all that pass it are counted exactly. Tasks hand on their counts in blocks of a bucket (by the phrase's hash)
+    and a language, whose texts are sorted and compressed; buckets grow in number with the text, and one is added up at a time. No n-gram is hot, as
+    a task has it once. N-grams are told apart by 64-bit hashes within a task, by their text beyond.
     """
     if not 1 <= longest <= 4 or threshold < 1:
         raise ValueError(f"phrases of 1 to 4 words at a threshold from 1 on are found, not {longest} and {threshold}")
@@ -266,8 +338,15 @@ def frequent_phrases(docs: DataFrame, threshold: int = 30, longest: int = 4) ->
     context, shared = docs.sparkSession.sparkContext, []
     for n in range(1, longest + 1):
         shared.append(context.broadcast(survivors(rows, n, threshold, bits, shared[-1:] and shared)))
-    counted = rows.mapInArrow(lambda b: _counted(b, longest, shared), "lang string, phrase string, size int, n long")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).filter(f"size = 0 or f >= {threshold}")
+    buckets = max(BUCKETS, size // PART_BYTES)
+    counted, _ = store(rows.mapInArrow(
+        lambda b: _counted(b, longest, shared, buckets), "bucket long, lang string, phrases binary, counts binary, words long"
+    ))
+    blocks = counted.filter("bucket is not null").select("bucket", "lang", "phrases", "counts")
+    blocks = blocks.repartition("bucket", "lang").sortWithinPartitions("bucket", "lang")
+    found = blocks.mapInArrow(lambda b: _added(b, threshold), "lang string, phrase string, size int, f long")
+    words = counted.filter("words is not null").groupBy("lang").agg(F.sum("words").alias("f")).filter("f > 0")
+    return found.unionByName(words.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("size"), "f"))
 
 
 def _part(first: int, last: int) -> F.Column:

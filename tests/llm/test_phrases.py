@@ -58,7 +58,7 @@ def prose(rng, documents):
 @pytest.fixture
 def small(monkeypatch):
     """Many hash partitions, summaries that must drop counters, many hand-overs, ranking in several steps."""
-    for name, value in {"SLICE": 400, "HELD": 64, "MERGED": 8, "PHRASES": 40, "RANKED": 30}.items():
+    for name, value in {"SLICE": 400, "HELD": 64, "MERGED": 8, "PHRASES": 40, "RANKED": 30, "BUCKETS": 5}.items():
         monkeypatch.setattr(phrases, name, value)
 
 
