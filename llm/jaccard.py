@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import checkpoint, given, mix, query, slices, type_of, utf8
+from llm.common import checkpoint, given, mix, query, slices, store, type_of, utf8
 from llm.components import components
 from llm.words import segment_hashes
 
@@ -92,8 +92,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        of one text into a component without looking at their pairs.
     2. All remaining pairs: similar sets share a shingle among the first quarter (``n - ceil(3n / 4) + 1``) of either, under any global
        order. Candidates share one under the order that puts rare shingles first, lie in different components
-       and pass the bounds on size and position. Before a candidate is verified, it must also share a prefix shingle
-       under other global orders.
+       and pass the bounds on size and position.
+
+    In both steps a pair must then also share a prefix shingle under each of two other global orders: prefixes of all orders are
+    in one table, made in one pass, and only the texts of pairs that pass every filter are fetched and compared.
 
     Frequencies come from a fixed table of 4,194,304 counters, filled by all documents and broadcast; as the order is by
     counter, then hash, it is the same everywhere, so counters that shingles share cost time, never a link.
@@ -107,16 +109,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
     classes = checkpoint(members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash")))
 
-    firsts = checkpoint(rows.select("text").mapInArrow(lambda b: _firsts(b, shared), "class long, n int, common double, least array<long>"))
-    firsts = firsts.select("class", "n", "common", F.posexplode("least").alias("order", "shingle"))
+    signs, _ = store(rows.select("text").mapInArrow(
+        lambda b: _signs(b, shared), "class long, n int, common double, least array<long>, prefix array<long>, second array<int>, third array<int>"
+    ))
+    firsts = signs.select("class", "n", "common", F.posexplode("least").alias("order", "shingle"))
     stars = firsts.groupBy("order", "shingle").agg(F.max(F.struct("common", "class", "n")).alias("star"))
-    seeds = firsts.join(stars, ["order", "shingle"]).select(F.col("star.class").alias("a"), F.col("class").alias("b"), F.col("star.n").alias("m"), "n")
+    stars = stars.select(F.struct("order", "shingle").alias("of"), "star")  # in a struct, so that a common shingle can be split
+    seeds = firsts.join(stars, F.struct("order", "shingle") == F.col("of")).select(F.col("star.class").alias("a"), F.col("class").alias("b"), F.col("star.n").alias("m"), "n")
     seeds = seeds.filter("a <> b and 4 * least(m, n) >= 3 * greatest(m, n)").select("a", "b").distinct()
-    links = checkpoint(_linked(checkpoint(seeds), classes, rows))
+    links = checkpoint(_linked(_filtered(checkpoint(seeds), signs), classes, rows))
     groups = components(links).withColumnRenamed("node", "class")
 
-    prefixes = rows.select("text").mapInArrow(lambda b: _prefixes(b, shared), "class long, n int, prefix array<long>")
-    marked = prefixes.join(_broadcast(groups), "class", "left")
+    marked = signs.select("class", "n", "prefix").join(_broadcast(groups), "class", "left")
     tokens = marked.select("class", "n", F.coalesce("component", "class").alias("part"), F.posexplode("prefix").alias("place", "shingle"))
     x, y = tokens.alias("x"), tokens.alias("y")
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
@@ -124,7 +128,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.part") != F.col("y.part"))
                    & (4 * small >= 3 * large) & (7 * room >= 3 * (F.col("x.n") + F.col("y.n"))))
     pairs = checkpoint(pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
-    more = checkpoint(_linked(pairs, classes, rows))
+    more = checkpoint(_linked(_filtered(pairs, signs), classes, rows))
     groups = components(links.union(more)).withColumnRenamed("node", "class")
 
     named = classes.join(groups, "class", "left").select("class", "least_id", F.coalesce("component", "class").alias("part"))
@@ -192,27 +196,41 @@ def _prefix_sizes(number: np.ndarray) -> np.ndarray:
     return np.where(number > 0, number - (3 * number + 3) // 4 + 1, 0)
 
 
-def _firsts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Of every new set of the task how frequent its shingles are (mean logarithm), and the first one under each other order."""
-    table = shared.value
-    for classes, number, values in _new_sets(batches):
-        starts = np.cumsum(number) - number
-        common = np.add.reduceat(np.log2(table[_buckets(values)].astype(np.float64) + 1), starts) / number
-        least = np.stack([np.minimum.reduceat(mix(values ^ np.uint64(seed)), starts) for seed in SEEDS], axis=1)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(number) + 1, dtype=np.int32) * len(SEEDS)), pa.array(least.ravel().view(np.int64)))
-        yield pa.record_batch({"class": pa.array(classes), "n": pa.array(number.astype(np.int32)), "common": pa.array(common), "least": lists})
-
+def _signs(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Of every new set of the task what links are looked for by.
 
-def _prefixes(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """The prefix of every new set of the task, with rare shingles first."""
+    How frequent its shingles are (mean logarithm), the first one under each order by hash, the prefix with rare shingles first, and
+    the prefixes under two other orders, of which 32 bits are enough: two shingles that share them let a pair pass, and lose none.
+    """
     table = shared.value
     for classes, number, values in _new_sets(batches):
         of, starts = np.repeat(np.arange(len(number)), number), np.cumsum(number) - number
-        order = np.lexsort((values, table[_buckets(values)], of))
+        counts = table[_buckets(values)]
+        common = np.add.reduceat(np.log2(counts.astype(np.float64) + 1), starts) / number
+        mixed = [mix(values ^ np.uint64(seed)) for seed in SEEDS]
+        least = np.stack([np.minimum.reduceat(m, starts) for m in mixed], axis=1)
         taken = np.arange(len(of)) - np.repeat(starts, number) < np.repeat(_prefix_sizes(number), number)
-        sizes = np.bincount(of[taken], minlength=len(number))
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values[order][taken].view(np.int64)))
-        yield pa.record_batch({"class": pa.array(classes), "n": pa.array(number.astype(np.int32)), "prefix": lists})
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of[taken], minlength=len(number)))]).astype(np.int32))
+        prefix = values[np.lexsort((values, counts, of))][taken].view(np.int64)
+        others = [(m[np.lexsort((m, of))][taken] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) for m in mixed[:2]]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(number) + 1, dtype=np.int32) * len(SEEDS)), pa.array(least.ravel().view(np.int64)))
+        columns = [pa.array(classes), pa.array(number.astype(np.int32)), pa.array(common), lists]
+        columns += [pa.ListArray.from_arrays(ends, pa.array(some)) for some in (prefix, *others)]
+        yield pa.record_batch(columns, names=["class", "n", "common", "least", "prefix", "second", "third"])
+
+
+def _filtered(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of classes that share a prefix shingle under the two other orders as well."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    own = signs.select("class", "second", "third").join(_broadcast(checkpoint(ids)), "class").groupBy("class").agg(F.first("second").alias("second"), F.first("third").alias("third"))
+    sides = {}
+    for side in ("a", "b"):  # in a struct, so that a class of many pairs can be split
+        sides[side] = own.select(F.struct("class").alias(f"is_{side}"), F.col("second").alias(f"second_{side}"), F.col("third").alias(f"third_{side}"))
+    both = pairs
+    for side, some in sides.items():
+        both = both.join(some, F.struct(F.col(side).alias("class")) == F.col(f"is_{side}"))
+    shared = [F.arrays_overlap(f"{order}_a", f"{order}_b") for order in ("second", "third")]
+    return checkpoint(both.filter(shared[0] & shared[1]).select("a", "b"))
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -220,9 +238,9 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = _broadcast(checkpoint(classes.join(ids, "class").select("class", "text_hash")))
     texts = rows.select("text_hash", "text").join(wanted, "text_hash").groupBy("class").agg(F.first("text").alias("text"))
-    both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text")), "a").join(
-        texts.select(F.col("class").alias("b"), F.col("text").alias("other")), "b"
-    )
+    left = texts.select(F.struct("class").alias("is_a"), "text")  # in a struct, so that a class of many pairs can be split
+    right = texts.select(F.struct("class").alias("is_b"), F.col("text").alias("other"))
+    both = pairs.join(left, F.struct(F.col("a").alias("class")) == F.col("is_a")).join(right, F.struct(F.col("b").alias("class")) == F.col("is_b"))
     return both.select("a", "b", "text", "other").mapInArrow(_verified, "a long, b long")
 
 
@@ -231,22 +249,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, left_ends = shingles(*utf8(batch.column("text")))
         right, right_ends = shingles(*utf8(batch.column("other")))
         sides = (left, np.diff(left_ends)), (right, np.diff(right_ends))
-        alive = np.ones(len(batch), bool)
-        for seed in SEEDS[:2]:  # the filters of two more orders
-            alive &= _common([_first_quarter(values, number, seed) for values, number in sides], len(batch)) > 0
         common = _common([(values, np.repeat(np.arange(len(batch)), number)) for values, number in sides], len(batch))
-        linked = alive & (7 * common >= 3 * (sides[0][1] + sides[1][1]))  # 4 * common >= 3 * union
+        linked = 7 * common >= 3 * (sides[0][1] + sides[1][1])  # 4 * common >= 3 * union
         yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(linked))
 
 
-def _first_quarter(values: np.ndarray, number: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    of = np.repeat(np.arange(len(number)), number)
-    values = values[np.lexsort((mix(values ^ np.uint64(seed)), of))]
-    place = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
-    taken = place < np.repeat(_prefix_sizes(number), number)
-    return values[taken], of[taken]
-
-
 def _common(sides: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
     """How many values the two sides share, by pair."""
     values, of = (np.concatenate(x) for x in zip(*sides))
