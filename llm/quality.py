@@ -15,7 +15,6 @@ PAD = "\x02"  # stands before a text
 SLICE = 1 << 20  # bytes of text that a task counts or scores at a time
 BROADCAST_ROWS = 2_000_000  # trusted ids that are broadcast; more are joined by shuffle
 SMOOTH = 50  # characters at the language's median that are added to a text, so that a short one is not judged by its first letters
-SUPPORT = 30  # held-out documents that a language needs for a limit of its own
 HOT = 1 << 18  # n-grams that every task looks up by itself; the others are joined
 
 
@@ -170,15 +169,15 @@ def _score(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]
             })
 
 
-def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, slack: float = 0.05) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, slack: float = 0.05, support: int = 30) -> DataFrame:
     """``doc_id``, ``lang``, ``text_hash``, ``perplexity`` (per character), ``limit`` and ``kept`` of every row of ``docs``.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``, ``trusted`` has ``doc_id``; other columns are ignored. A document is
     kept when its cross-entropy, smoothed by ``SMOOTH`` characters at the median of its language, is at most
     the ``quantile`` of that language's trusted documents which the model has not seen, and ``slack`` times it more
     (few of them may be at hand, and clean text should stay). A null language counts as one
-    of its own. Where one in ten are fewer than ``SUPPORT`` documents, all trusted ones of the language are used, either half judged by a
-    model of the other half and the rest. A language with fewer than ``SUPPORT`` even so has no limit: as with
+    of its own. Where one in ten are fewer than ``support`` documents, all trusted ones of the language are used, either half judged by a
+    model of the other half and the rest. A language with fewer than ``support`` even so has no limit: as with
     no trusted documents at all nothing can be told, and every text that is not empty is kept. A null or empty text has no perplexity
     and is not kept. Repeated rows come out again, as does a null id.
     """
@@ -188,13 +187,13 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, slack
     lang = F.coalesce("lang", F.lit(""))
     own = marked.filter("(train or held) and text <> ''").groupBy(lang.alias("lang"))
     counts = own.agg(F.countDistinct("doc_id").alias("every"), F.countDistinct(F.when(F.col("held"), F.col("doc_id"))).alias("held"))
-    support = {row["lang"]: row for row in counts.collect()}
-    crossed = [name for name, row in support.items() if row["held"] < SUPPORT <= row["every"]]
+    marks = {row["lang"]: row for row in counts.collect()}
+    crossed = [name for name, row in marks.items() if row["held"] < support <= row["every"]]
     if crossed:
         trust, few = F.col("train") | F.col("held"), lang.isin(crossed)
         parts = [_entropies(_halved(marked.filter(trust), few, half), True) for half in (0, 1)]
         held = checkpoint(held.filter(~few).unionByName(parts[0].unionByName(parts[1]).filter("entropy is not null")))
-    held = held.filter(lang.isin([name for name, row in support.items() if row["every"] >= SUPPORT]))
+    held = held.filter(lang.isin([name for name, row in marks.items() if row["every"] >= support]))
     held = held.withColumn("lang", lang)
     median = F.percentile_approx("entropy", 0.5, 10_000).alias("median")
     medians = {row["lang"]: row["median"] for row in held.groupBy("lang").agg(median).collect()}

@@ -24,7 +24,9 @@ def features(word: str) -> tuple[str, str, str]:
 def split(text: str) -> Iterator[tuple[int, int, set[str]]]:
     """Start, end and distinct lower-case words of every sentence."""
     low = text.lower()
-    for match in SENTENCE.finditer(low if len(low) == len(text) else text):
+    if len(low) != len(text):  # some letters become several in lower case; these stay as they are, so that places hold
+        low = "".join([x if len(x) == 1 else c for c, x in zip(text, map(str.lower, text))])
+    for match in SENTENCE.finditer(low):
         yield *match.span(), set(WORD.findall(match.group()))
 
 
@@ -34,6 +36,7 @@ class Model:
 
     bias: float
     weights: dict[str, float]
+    cut: float = 0.5  # the probability from which a document counts as toxic
     known: dict[str, float] = field(default_factory=dict)  # words met before
 
     def word(self, word: str) -> float:
@@ -51,22 +54,31 @@ class Model:
         return found
 
 
+    def document(self, odds: np.ndarray) -> float:
+        """The score of a document with such sentences: the noisy-or, its odds scaled so that 0.5 stands for ``cut``."""
+        p = noisy_or(odds)
+        return p * (1 - self.cut) / (p * (1 - self.cut) + (1 - p) * self.cut) if 0 < p < 1 else p
+
+
 def noisy_or(odds: np.ndarray) -> float:
     """The probability that at least one sentence is toxic: 1 - prod(1 - p)."""
     return float(-np.expm1(-np.logaddexp(0.0, odds).sum())) if len(odds) else 0.0
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, least_z: float = 4.0, steps: int = 150, seed: int = 7) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, least_z: float = 3.0, alarms: float = 0.005, steps: int = 150, seed: int = 7) -> Model:
     """Fit word weights so that the noisy-or over a document's sentences explains its label.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``toxic``. The fit is on a bounded
     sample: the ``per_class`` labelled documents of either class with the smallest hash of their
     id, whole texts. Only words and stems get a weight whose share of the toxic documents differs from that of
-    the clean ones by ``least_z`` standard errors: the others are noise at this sample. Of several labels of a
+    the clean ones by ``least_z`` standard errors: the others are noise at this sample. The cut between toxic and clean is the
+    lowest of 0.5, 0.45, ... 0.05 at which, in either half of the sample under a model of the other, no more than ``alarms`` of the clean
+    documents (or a single one) lie above it. Only labels of documents in ``docs`` count. Of several labels of a
     document the highest counts; null labels, ids and texts without a sentence teach nothing. Without
     toxic examples every score is 0; without clean ones every text with a sentence scores 1.
     """
     marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    marks = marks.join(docs.select("doc_id"), "doc_id", "left_semi")  # labels of other documents take no place in the sample
     order = F.xxhash64("doc_id", F.lit(seed))
     chosen = [marks.filter(F.col("toxic") == value).orderBy(order, "doc_id").limit(per_class) for value in (True, False)]
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
@@ -92,7 +104,14 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, least_z: fl
     at = np.fromiter((i for s in words for i in s), np.int64, int(lengths.sum()))
     sentence = np.repeat(np.arange(len(words)), lengths)
     of = np.repeat(np.arange(len(sample)), [len(s) for _, s in sample])
-    return _fit(at, sentence, of, toxic, list(place), steps)
+    bias, weights = _fit(at, sentence, of, toxic, len(place), steps, np.ones(len(toxic)))
+    half, crossed = np.arange(len(toxic)) % 2, np.zeros(len(toxic))
+    for own in (0, 1):  # the sample is in order of the labels, so both halves have both
+        other = _fit(at, sentence, of, toxic, len(place), steps, (half != own).astype(float))
+        crossed[half == own] = _probabilities(at, sentence, of, len(toxic), *other)[0][half == own]
+    most = max(1.0, alarms * (~toxic).sum())
+    cuts = [c for c in np.arange(0.05, 0.5, 0.05) if all((crossed[~toxic] >= x).sum() <= most for x in np.arange(c, 0.5, 0.05))]
+    return Model(bias, dict(zip(place, weights.tolist())), float(min(cuts, default=0.5)))
 
 
 def _z(a: int, of_a: int, b: int, of_b: int) -> float:
@@ -101,21 +120,27 @@ def _z(a: int, of_a: int, b: int, of_b: int) -> float:
     return (a / of_a - b / of_b) / max(1e-12, (share * (1 - share) * (1 / of_a + 1 / of_b)) ** 0.5)
 
 
-def _fit(at: np.ndarray, sentence: np.ndarray, of: np.ndarray, toxic: np.ndarray, words: list[str], steps: int) -> Model:
-    """Adam on the log-likelihood of the noisy-or; ``at``: words, of ``sentence``, which is ``of`` a document."""
-    w, bias = np.zeros(len(words)), -4.0
-    m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+def _probabilities(at: np.ndarray, sentence: np.ndarray, of: np.ndarray, documents: int, bias: float, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of every document the noisy-or and -log of no toxic sentence, and the log-odds of every sentence."""
+    z = bias + np.bincount(sentence, w[at], len(of))
+    none = np.bincount(of, np.logaddexp(0.0, z), documents)
+    return -np.expm1(-none), none, z
+
+
+def _fit(at: np.ndarray, sentence: np.ndarray, of: np.ndarray, toxic: np.ndarray, words: int, steps: int, share: np.ndarray) -> tuple[float, np.ndarray]:
+    """Bias and weights by Adam on the log-likelihood of the noisy-or; ``at``: words, of ``sentence``, which is ``of`` a document that counts by its ``share``."""
+    w, bias = np.zeros(words), -4.0
+    m, v = np.zeros(words + 1), np.zeros(words + 1)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(sentence, w[at], len(of))
-        none = np.bincount(of, np.logaddexp(0.0, z), len(toxic))  # -log of no toxic sentence
-        slope = np.where(toxic, -1.0 / np.expm1(np.clip(none, 1e-6, 50.0)), 1.0)
-        g = slope[of] / (1.0 + np.exp(-z)) / len(toxic)
-        grad = np.append(np.bincount(at, g[sentence], len(w)) + 1e-4 * w, g.sum())
+        _, none, z = _probabilities(at, sentence, of, len(toxic), bias, w)
+        slope = share * np.where(toxic, -1.0 / np.expm1(np.clip(none, 1e-6, 50.0)), 1.0)
+        g = slope[of] / (1.0 + np.exp(-z)) / share.sum()
+        grad = np.append(np.bincount(at, g[sentence], words) + 1e-4 * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         move = 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         w -= move[:-1]
         bias -= move[-1]
-    return Model(float(bias), dict(zip(words, w.tolist())))
+    return float(bias), w
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -131,7 +156,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores, spans = [], []
             for text in batch.column("text").to_pylist():
                 found = model.sentences(text or "")
-                scores.append(noisy_or(np.array([z for _, _, z in found])))
+                scores.append(model.document(np.array([z for _, _, z in found])))
                 spans.append([{"from": a, "to": b, "score": float(1 / (1 + np.exp(-z)))} for a, b, z in found if z >= 0])
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64()), "offending": pa.array(spans, kind)})
 

@@ -165,6 +165,39 @@ def test_toxicity_finds_the_sentence(spark):
         assert [text[s["from"] : s["to"]].strip().startswith("You are") for s in r["offending"]] == [True] * (r["doc_id"] in bad)
 
 
+def test_toxicity_score_by_hand():
+    """Every sentence on its own, without the arrays."""
+    import math
+    import re
+
+    model = toxicity.Model(-3.0, {"vile": 4.0, "^vile": 0.5, "^kind": -2.0, "fool": 1.5}, cut=0.3)
+    for text in ("", "Vile! fool. Kind and VILE", "a fool\nvilest vilely", "kind " * 50 + "vile fool vile.", "no. words. here.", "İ VILE."):
+        none = 1.0
+        for part in re.findall(r"[^.!?\n]+[.!?]*", "".join(c.lower() if len(c.lower()) == 1 else c for c in text)):
+            odds = -3.0
+            for word in set(re.findall(r"\w+", part)):
+                odds += model.weights.get(word, 0.0) + model.weights.get("^" + word[:4], 0.0) + model.weights.get("^" + word[:5], 0.0)
+            none *= 1 - 1 / (1 + math.exp(-odds))
+        p = 1 - none
+        want = p * 0.7 / (p * 0.7 + (1 - p) * 0.3)
+        assert model.document(np.array([z for *_, z in model.sentences(text)])) == pytest.approx(want)
+
+
+def test_a_letter_that_grows_in_lower_case_changes_no_other():
+    assert [(a, b, w) for a, b, w in toxicity.split("İ YOU ARE VILE. And İ")] == [(0, 15, {"İ", "you", "are", "vile"}), (15, 21, {"and", "İ"})]
+
+
+def test_toxicity_on_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels, "doc_id")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = toxicity.learn(docs.filter(fold != 0).drop("toxic"), labels)
+    rows = toxicity.score(docs.filter(fold == 0), model).join(labels, "doc_id").select("toxic", "predicted").collect()
+    toxic, clean = [r["predicted"] for r in rows if r["toxic"]], [r["predicted"] for r in rows if not r["toxic"]]
+    assert len(toxic) > 80 and sum(toxic) >= 0.88 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
 def test_toxicity_edges(spark, edge, empty):
     labels = spark.createDataFrame([(3, 1, 1), (3, 0, 0), (8, 1, 0), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     found = toxicity.score(edge, toxicity.learn(edge, labels)).collect()
