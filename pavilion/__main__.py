@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pavilion.plans.analytics import ANALYTICS
 from pavilion.plans.jobs import clean_all, ingest, report
 from pavilion.plans.specs import BALL_BY_BALL_PER_INNINGS, SPECS
-from pavilion.sources import write_table
+from pavilion.sources import FAILURES, replaced, write_table
 
 
 def _arguments(args: list[str]) -> argparse.Namespace:
@@ -53,10 +53,13 @@ def main(args: list[str]) -> int:
     else:
         try:
             found = report(spark, chosen.source, chosen.name, chosen.k)
-        except LookupError as problem:
+            if chosen.out:
+                with replaced(spark, chosen.out) as path:
+                    write_table(found, path, chosen.format)
+            else:
+                _print(found)
+        except (LookupError, *FAILURES) as problem:
             errors = {chosen.name: str(problem)}
-        else:
-            _print(found) if not chosen.out else write_table(found, chosen.out, chosen.format)
     for name, problem in errors.items():
         print(f"{name}: {problem}", file=sys.stderr)
     return 1 if errors else 0

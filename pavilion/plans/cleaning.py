@@ -14,7 +14,7 @@ from pavilion.functions import (
     standardise, whole_or_zero,
 )
 from pavilion.operators import drop_empty_rows, keep_one, require_keys, totals_by_column
-from pavilion.sources import UNREADABLE, read_table, typed, write_table
+from pavilion.sources import FAILURES, UNREADABLE, read_table, replaced, typed, write_table
 
 
 @dataclass(frozen=True)
@@ -150,24 +150,35 @@ def run_cleaning(
     target: str,
     fmt: str = "parquet",
     schemas: Mapping[str, StructType] | None = None,
-) -> DataFrame:
-    """Clean and write every table to ``<target>/<table>``; returns the audits of all.
+) -> tuple[DataFrame, dict[str, str]]:
+    """Clean every table into ``<target>/<table>``; returns the audits of all, and by name why the other tables failed.
 
-    With ``schemas`` the tables hold text, are read under these types, and what could not be
+    A table is written beside its place and swapped in once it is complete and audited, so one that fails, at whatever row,
+    neither stops the others nor touches what stood there. The audit of a table, seven rows at most, is
+    read at once. With ``schemas`` the tables hold text, are read under these types, and what could not be
     read is in the audit. A raw table is scanned twice, to write and to audit, and must not change in between. Counting
     while writing (``DataFrame.observe``) would save a scan but not be right when executors are lost: the steps
     before the duplicate removal run in map tasks, and Spark adds up the counts of every map task that
-    ends, those that run again for lost shuffle files included.
+    ends, those that run again for lost shuffle files included. Behind the shuffle, where it counts once, the rows
+    that the steps drop are gone, and to send them along would cost more than the audit's scan.
     """
-    audits = []
+    audits, errors = [spark.createDataFrame([], _AUDIT)], {}
     for name, spec in specs.items():
-        path, raw = f"{target}/{name}", tables[name]
-        cleaned = clean(typed(raw, schemas[name]) if schemas else raw, spec)
-        write_table(cleaned, path, fmt)
-        written = read_table(spark, path, fmt, cleaned.schema, multi_line=fmt == "csv")
-        audits.append(clean_audit(typed(raw, schemas[name], count=True) if schemas else raw, spec, written))
-    none = spark.createDataFrame([], "table string, step string, rows long, removed long")
-    return reduce(DataFrame.unionByName, audits, none)
+        raw = tables[name]
+        try:
+            with replaced(spark, f"{target}/{name}") as path:
+                cleaned = clean(typed(raw, schemas[name]) if schemas else raw, spec)
+                write_table(cleaned, path, fmt)
+                written = read_table(spark, path, fmt, cleaned.schema, multi_line=fmt == "csv")
+                audit = clean_audit(typed(raw, schemas[name], count=True) if schemas else raw, spec, written).collect()
+        except FAILURES as problem:
+            errors[name] = str(problem)
+        else:
+            audits.append(spark.createDataFrame(audit, _AUDIT))
+    return reduce(DataFrame.unionByName, audits), errors
+
+
+_AUDIT = "table string, step string, rows long, removed long"
 
 
 def _any_present(columns: list[str]) -> Column:

@@ -1,6 +1,7 @@
 """The three jobs, each from one folder of tables to another; stages meet in the file system only.
 
-Every job goes on with the tables that open, and returns why the others did not.
+Every job goes on with the tables that can be opened, read and written in full, and returns why the others failed. What
+stood in the place of a table that failed still stands there.
 """
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pavilion.plans.analytics import ANALYTICS, Tables
 from pavilion.plans.cleaning import CleanSpec, run_cleaning
 from pavilion.plans.specs import SPECS
-from pavilion.sources import SCHEMAS, as_text, load_tables, register_views, typed, write_table
+from pavilion.sources import FAILURES, SCHEMAS, as_text, load_tables, register_views, replaced, write_table
 from pavilion.sources.schemas import PLAYER_MATCH
 
 # Raw file names that differ from the table name.
@@ -38,12 +39,6 @@ def load_text(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dic
     return load_tables(spark, paths, "csv", {name: as_text(schema) for name, schema in SCHEMAS.items()})
 
 
-def load_raw(spark: SparkSession, base: str, suffix: str = ".csv") -> tuple[dict[str, DataFrame], Errors]:
-    """The raw CSV tables under their declared types."""
-    tables, errors = load_text(spark, base, suffix)
-    return {name: typed(df, SCHEMAS[name]) for name, df in tables.items()}, errors
-
-
 def ingest(spark: SparkSession, source: str, target: str) -> Errors:
     """Copy the raw tables in full, cell by cell as text, replacing what was there; returns the tables that failed.
 
@@ -53,7 +48,11 @@ def ingest(spark: SparkSession, source: str, target: str) -> Errors:
     _keep_apart(source, target)
     tables, errors = load_text(spark, source)
     for name, df in tables.items():
-        write_table(df, f"{target}/{_RAW_NAMES.get(name, name)}", "csv")
+        try:
+            with replaced(spark, f"{target}/{_RAW_NAMES.get(name, name)}") as path:
+                write_table(df, path, "csv")
+        except FAILURES as problem:
+            errors[name] = str(problem)
     return errors
 
 
@@ -69,7 +68,8 @@ def clean_all(
     _keep_apart(raw, target)
     tables, errors = load_text(spark, raw, suffix)
     found = {name: spec for name, spec in specs.items() if name in tables}
-    return run_cleaning(spark, tables, found, target, fmt, SCHEMAS), {name: e for name, e in errors.items() if name in specs}
+    audit, failed = run_cleaning(spark, tables, found, target, fmt, SCHEMAS)
+    return audit, {name: e for name, e in errors.items() if name in specs} | failed
 
 
 def load_clean(spark: SparkSession, base: str) -> tuple[Tables, Errors]:

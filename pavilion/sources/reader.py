@@ -14,6 +14,10 @@ from pavilion.functions import is_blank, whole_number
 from pavilion.operators.groups import totals_by_column
 
 
+#: What a table may fail with, when it is opened or when its rows are read or written.
+FAILURES = (PySparkException, Py4JError, OSError)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -53,13 +57,14 @@ def load_tables(
     """Open every table; returns the tables and, by name, why the others would not open.
 
     One bad table does not stop the others unless ``fail_fast`` is set. Only
-    missing paths and unreadable formats show here; bad rows show when an action runs.
+    missing paths and unreadable formats show here; bad files and rows show when an action runs, which the
+    jobs (``plans.jobs``) catch per table as well.
     """
     tables, errors = {}, {}
     for name, path in paths.items():
         try:
             tables[name] = read_table(spark, path, fmt, (schemas or {}).get(name))
-        except (PySparkException, Py4JError) as problem:
+        except FAILURES as problem:
             if fail_fast:
                 raise
             errors[name] = str(problem)

@@ -8,9 +8,9 @@ from pavilion.plans import analytics
 from pavilion.plans.analytics import ANALYTICS
 from pavilion.__main__ import main
 from pavilion.plans.cleaning import clean, run_cleaning
-from pavilion.plans.jobs import clean_all, ingest, load_clean, load_raw, load_text, report
+from pavilion.plans.jobs import clean_all, ingest, load_clean, load_text, report
 from pavilion.plans.specs import BALL_BY_BALL_PER_INNINGS, SPECS
-from pavilion.sources import SCHEMAS, typed
+from pavilion.sources import SCHEMAS, replaced, typed
 from pavilion.sources.schemas import BALL_BY_BALL, MATCH
 from tests.cricket import write_raw
 
@@ -59,7 +59,8 @@ def test_cleaned_deliveries(tables):
 
 
 def test_date_with_leading_space_is_not_parsed_from_the_source(spark, folders):
-    raw, errors = load_raw(spark, folders["source"])
+    texts, errors = load_text(spark, folders["source"])
+    raw = {name: typed(df, SCHEMAS[name]) for name, df in texts.items()}
     assert not errors
     days = clean(raw[BALL_BY_BALL], SPECS[BALL_BY_BALL])
     assert days.filter("match_date = '4/22/2013' and match_date_cleaned is null").count() == 1
@@ -184,6 +185,68 @@ def test_a_failed_table_is_named(spark, folders, tmp_path):
     assert len(errors) == 5 and audit.count() == 0
 
 
+def names_in(folder):
+    return sorted(p.name for p in folder.iterdir())
+
+
+def test_a_corrupt_file_fails_its_table_alone(spark, tables, tmp_path):
+    """The file opens, since its footer is whole, and fails once its rows are read."""
+    paths = {}
+    for name in ("Team", "Player"):
+        paths[name] = tmp_path / "raw" / name
+        tables[name].select(*[f.name for f in SCHEMAS[name]]).coalesce(1).write.parquet(str(paths[name]))
+    raw = {name: spark.read.parquet(str(path)) for name, path in paths.items()}
+    target, specs = tmp_path / "clean", {name: SPECS[name] for name in paths}
+    audit, errors = run_cleaning(spark, raw, specs, str(target))
+    assert errors == {} and names_in(target) == ["Player", "Team"]
+    before = sorted(lines(spark.read.parquet(str(target / "Team"))))
+
+    (file,) = paths["Team"].glob("*.parquet")
+    data = bytearray(file.read_bytes())
+    data[4:44] = bytes(40)
+    file.write_bytes(data)
+    for leftover in paths["Team"].glob(".*.crc"):
+        leftover.unlink()
+    raw = {name: spark.read.parquet(str(path)) for name, path in paths.items()}
+    audit, errors = run_cleaning(spark, raw, specs, str(target))
+    assert list(errors) == ["Team"] and {r.table for r in audit.collect()} == {"Player"}
+    assert names_in(target) == ["Player", "Team"]
+    assert sorted(lines(spark.read.parquet(str(target / "Team")))) == before
+
+
+def test_a_cut_off_file_ends_the_command_with_1(spark, folders, tmp_path, capsys):
+    """A compressed raw file that breaks off: the copy and the cleaning of the other tables go through."""
+    import gzip
+    import shutil
+
+    raw, out = tmp_path / "raw", tmp_path / "clean"
+    shutil.copytree(folders["raw"], raw)
+    assert main(["clean", str(raw), str(out)]) == 0
+    before = sorted(lines(spark.read.parquet(str(out / "Match"))))
+    packed = gzip.compress(b"".join(p.read_bytes() for p in sorted((raw / "Match").glob("*.csv"))))
+    for p in (raw / "Match").iterdir():
+        p.unlink()
+    (raw / "Match" / "part.csv.gz").write_bytes(packed[: len(packed) // 2])
+    capsys.readouterr()
+    assert main(["clean", str(raw), str(out)]) == 1
+    said = capsys.readouterr()
+    assert [line.split(":")[0] for line in said.err.splitlines() if line.split(":")[0] in SCHEMAS] == ["Match"]
+    assert "\nTeam\tdedup" in said.out and "\nMatch\t" not in said.out
+    assert names_in(out) == sorted(SCHEMAS) and sorted(lines(spark.read.parquet(str(out / "Match")))) == before
+
+
+def test_a_failed_swap_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with replaced(spark, path) as staging:
+        spark.range(3).write.parquet(staging)
+    with pytest.raises(RuntimeError), replaced(spark, path) as staging:
+        spark.range(9).write.parquet(staging)
+        raise RuntimeError("before the end")
+    with pytest.raises(OSError), replaced(spark, path):
+        pass  # nothing was written
+    assert spark.read.parquet(path).count() == 3 and names_in(tmp_path) == ["t"]
+
+
 def test_cells_that_cannot_be_read_are_counted(spark, tmp_path):
     source, raw = tmp_path / "source", tmp_path / "raw"
     source.mkdir()
@@ -201,8 +264,8 @@ def test_cells_that_cannot_be_read_are_counted(spark, tmp_path):
 
 def test_values_with_line_ends_survive_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, 1, "two\nlines"), (2, 2, "one")], SCHEMAS["Team"])
-    audit = run_cleaning(spark, {"Team": df}, {"Team": SPECS["Team"]}, str(tmp_path), "csv")
-    assert audit.filter("step = 'dedup'").first()["rows"] == 2
+    audit, errors = run_cleaning(spark, {"Team": df}, {"Team": SPECS["Team"]}, str(tmp_path), "csv")
+    assert errors == {} and audit.filter("step = 'dedup'").first()["rows"] == 2
 
 
 def test_specs_are_chosen(spark, folders, tmp_path):
