@@ -45,6 +45,7 @@ class Pieces:
         order = {score: rank for rank, score in enumerate(sorted({-s for _, _, s in plain}))}
         self.ids = {text: i for text, i, _ in plain}
         self.text = {i: text for text, i, _ in plain}
+        self.sizes = {i: len(text) for text, i, _ in plain}
         self.rank = {i: -1 if len(text) == 1 else order[-score] for text, i, score in plain}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.parts: dict[int, tuple[int, int]] = {}  # of its last merge
@@ -131,17 +132,24 @@ class Pieces:
         if segment.startswith(BLANK * 2):
             return self.merge(segment)[0]  # pieces of blanks share one score, so ranks do not order them
         last = [-1] * (len(segment) + 1)
-        pair = self.pair
+        fits, pair = self.fits, self.pair
         for end, (token, size) in self.automaton.iter(segment):
-            if last[end + 1] < 0:
-                start = end + 1 - size
-                if not start or pair(last[start], token):
-                    last[end + 1] = token
-        ids, at = [], len(segment)
+            end += 1
+            if last[end] < 0:
+                if end == size:
+                    last[end] = token
+                    continue
+                before = last[end - size]
+                known = fits.get(before << 32 | token)
+                if pair(before, token) if known is None else known:
+                    last[end] = token
+        ids, at, sizes = [], len(segment), self.sizes
         while at:
-            ids.append(last[at])
-            at -= len(self.text[last[at]])
-        return ids[::-1]
+            token = last[at]
+            ids.append(token)
+            at -= sizes[token]
+        ids.reverse()
+        return ids
 
     def segment_starts(self, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where segments start that no piece crosses: at blanks after other characters, around unknown characters."""

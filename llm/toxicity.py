@@ -72,7 +72,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, least_z: fl
     sample: the ``per_class`` labelled documents of either class with the smallest hash of their
     id, whole texts. Only words and stems get a weight whose share of the toxic documents differs from that of
     the clean ones by ``least_z`` standard errors: the others are noise at this sample. The cut between toxic and clean is the
-    lowest of 0.5, 0.45, ... 0.05 at which, in either half of the sample under a model of the other, no more than ``alarms`` of the clean
+    lowest of 0.5, 0.45, ... 0.2 at which, in either half of the sample under a model of the other, no more than ``alarms`` of the clean
     documents (or a single one) lie above it. Only labels of documents in ``docs`` count. Of several labels of a
     document the highest counts; null labels, ids and texts without a sentence teach nothing. Without
     toxic examples every score is 0; without clean ones every text with a sentence scores 1.
@@ -110,7 +110,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, least_z: fl
         other = _fit(at, sentence, of, toxic, len(place), steps, (half != own).astype(float))
         crossed[half == own] = _probabilities(at, sentence, of, len(toxic), *other)[0][half == own]
     most = max(1.0, alarms * (~toxic).sum())
-    cuts = [c for c in np.arange(0.05, 0.5, 0.05) if all((crossed[~toxic] >= x).sum() <= most for x in np.arange(c, 0.5, 0.05))]
+    cuts = [c for c in np.arange(0.2, 0.5, 0.05) if all((crossed[~toxic] >= x).sum() <= most for x in np.arange(c, 0.5, 0.05))]
     return Model(bias, dict(zip(place, weights.tolist())), float(min(cuts, default=0.5)))
 
 

@@ -73,7 +73,7 @@ class WordCache:
     """Ids of distinct words. Beyond ``limit`` words or ``most`` ids it starts anew, and a word of more than ``long``
     characters is not kept, so memory stays bounded whatever the text."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 500_000, most: int = 1 << 22, long: int = 256) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 20, most: int = 1 << 23, long: int = 256) -> None:
         self.encode, self.limit, self.most, self.long = encode, limit, most, long
         self._clear()
 
