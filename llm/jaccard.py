@@ -109,7 +109,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
     classes = checkpoint(members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash")))
 
-    signs, _ = store(rows.select("text").mapInArrow(
+    signs, remove = store(rows.select("text").mapInArrow(
         lambda b: _signs(b, shared), "class long, n int, common double, least array<long>, prefix array<long>, second array<int>, third array<int>"
     ))
     firsts = signs.select("class", "n", "common", F.posexplode("least").alias("order", "shingle"))
@@ -129,6 +129,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                    & (4 * small >= 3 * large) & (7 * room >= 3 * (F.col("x.n") + F.col("y.n"))))
     pairs = checkpoint(pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
     more = checkpoint(_linked(_filtered(pairs, signs), classes, rows))
+    remove()
     groups = components(links.union(more)).withColumnRenamed("node", "class")
 
     named = classes.join(groups, "class", "left").select("class", "least_id", F.coalesce("component", "class").alias("part"))
