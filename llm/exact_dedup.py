@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from llm.common import checkpoint, given, query, type_of
 
 BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
+BROADCAST_ROWS = 1_000_000  # merged runs that are broadcast; more are joined by shuffle
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     texts that begin alike, then length and id, so that a text held by a third of all rows spreads
     over many ranges. Within a range whole texts are sorted and neighbours compared in full. Only
     the first and last run of a range can go on in another: these, two rows per range, are merged
-    by their full text and the result, without texts, is broadcast: it has at most two rows per range.
+    by their full text, and the result, without texts, is broadcast as long as two rows per range are at most 1,000,000.
     """
     normal = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.translate("text", BLANKS, "").alias("norm"), (-F.char_length("text")).alias("short")
@@ -42,7 +43,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     heads = rows.filter(F.col("head").isNotNull())
     merged = heads.groupBy("head", F.col("sha").alias("of")).agg(best.alias("best"), F.sum("n").alias("total"))
     merged = merged.select("of", F.col("best.keep_id").alias("kept_id"), F.col("best.short").alias("kept_short"), "total")
-    joined = rows.join(F.broadcast(merged), F.col("edge") & (F.col("sha") == F.col("of")), "left")
+    merged = F.broadcast(merged) if 2 * rows.rdd.getNumPartitions() <= BROADCAST_ROWS else merged
+    joined = rows.join(merged, F.col("edge") & (F.col("sha") == F.col("of")), "left")
     # Of ranges that share a text only the first one's first row stays; ranges follow the sort order,
     # so it is the row whose (length, id) is the group's best. Equal rows at a splitter lie in one range.
     is_first = F.col("first") & (F.col("of").isNull() | (F.col("short") == F.col("kept_short")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))

@@ -1,6 +1,9 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import pytest
+
+from llm import exact_dedup
 from llm.exact_dedup import exact_groups
 from tests.llm.conftest import edge_rows
 
@@ -25,7 +28,9 @@ def test_edges(edge):
     assert result(exact_groups(edge)) == brute([r[:2] for r in edge_rows()])
 
 
-def test_a_text_that_most_rows_share_spreads_over_ranges(spark):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_a_text_that_most_rows_share_spreads_over_ranges(spark, monkeypatch, most):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", most)
     rows = [(i, "same text" + " " * (i % 3)) for i in range(3000)] + [(9000 + i, f"own {i}") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
