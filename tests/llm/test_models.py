@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from llm import language, quality, toxicity
 from llm.ngrams import Sorted, hashes, rolling
+from tests.llm import kneser_ney
 from tests.llm.conftest import DOCS
 
 FOLDER = "/root/testdata/sf0.01"
@@ -29,7 +30,7 @@ def test_language_probabilities_add_up_and_order_languages(spark):
     for lang, text in (("aa", " abra cadabra abba "), ("bb", " xylo zyx oxo ")):
         for i in range(len(text) - 3):
             counts[lang][text[i : i + 4]] += 1
-    model = language.fit(counts)
+    model = kneser_ney.fit(counts)
     letters = sorted({c for c in " abracdxyloz"})
     for context in ("abr", "xyl", "zzz"):
         points, starts = language.codepoints([context + c for c in [*letters, "ü"]])
@@ -220,7 +221,7 @@ def test_language_learns_every_gram_of_every_language(spark, monkeypatch):
     for r in counted.collect():
         counts[r["lang"]][r["gram"]] = r["n"]
     assert len(counts) == 206 and len(counts["zh"]) > 100_000
-    wanted, model = language.fit(counts), language.tables(counted)
+    wanted, model = kneser_ney.fit(counts), language.tables(counted)
     assert model.languages == wanted.languages
     texts = [rows[0][1][:300], rows[2][1][-200:], rows[-30][1], rows[50][1], "a", "新しい x", None, "?"]
     scored = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
