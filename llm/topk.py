@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from llm.common import given, query
 
-SHARD = 16_384  # vectors whose postings one task holds at a time
-BLOCK = 16_384  # queries that meet a shard at a time
+ENTRIES = 1 << 20  # weights of the vectors whose postings one task holds at a time, and of the queries that meet them
+TILE = 2_048  # vectors that are scored at a time, so that the score arrays stay in the processor's cache
 ROWS = 64  # dense score arrays at a time
 
 
@@ -29,25 +29,30 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     different lengths are compared over the terms that both have. Sums are 64-bit and wrap.
 
     Candidates are dealt into shards, queries into blocks, and each (shard, block) is one
-    group: a candidate is sent once per 16,384 queries, a query once per shard, and a group
-    holds at most that many of either (about: ids are dealt by hash). In a group each term's
+    group. Both hold about 1,048,576 weights (ids are dealt by hash), so fewer vectors the wider
+    they are; a candidate is sent once per block, a query once per shard. In a group each term's
     postings are scattered, times the query's weight, into dense score arrays, of which the
-    k best are selected by partition; a window merges the shards' winners.
+    k best are selected by partition, tile by tile; a window merges the winners of the shards.
     """
     whole = lambda df: (
         df.select("vec_id", F.col("weights").cast("array<bigint>").alias("weights"))
         .filter(F.col("vec_id").isNotNull() & F.col("weights").isNotNull() & ~F.exists("weights", lambda x: x.isNull()))
         .groupBy("vec_id").agg(F.min("weights").alias("weights"))
     )
-    shards, blocks = candidates.count() // SHARD + 1, queries.count() // BLOCK + 1
+    size = F.sum(F.coalesce(F.array_size("weights"), F.lit(0)) + 1)  # a vector without weights takes room, too
+    shards, blocks = ((df.agg(size).first()[0] or 0) // ENTRIES + 1 for df in (candidates, queries))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = whole(candidates).withColumn("shard", deal(shards)).withColumn("block", every(blocks))
     right = whole(queries).withColumn("block", deal(blocks)).withColumn("shard", every(shards))
 
     def search(found: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        parts = list(_search(found.sort_values("vec_id"), asked.sort_values("vec_id"), k))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        found, asked = found.sort_values("vec_id"), asked.sort_values("vec_id")
+        parts = [part for first in range(0, len(found), TILE) for part in _search(found[first : first + TILE], asked, k)]
+        if not parts:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        best = pd.concat(parts).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return best.groupby("query_id").head(k)
 
     best = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
         search, "query_id long, vec_id long, score long"
@@ -66,6 +71,7 @@ def _search(found: pd.DataFrame, asked: pd.DataFrame, k: int) -> Iterator[pd.Dat
     holders, posted = terms[0][order], weights[order]
     width = int(max(terms[1].max(initial=-1), query_terms[1].max(initial=-1))) + 1
     cuts = np.searchsorted(terms[1][order], np.arange(width + 1))
+    products = np.empty((ROWS, len(ids)), np.int64)
     for first in range(0, len(query_ids), ROWS):
         some = query_ids[first : first + ROWS]
         scores = np.zeros((len(some), len(ids)), np.int64)
@@ -74,13 +80,13 @@ def _search(found: pd.DataFrame, asked: pd.DataFrame, k: int) -> Iterator[pd.Dat
         for term in np.unique(at):
             postings = slice(cuts[term], cuts[term + 1])
             of = at == term
-            if cuts[term + 1] - cuts[term] == len(ids):
-                scores[rows[of]] += by[of][:, None] * posted[postings]
+            if cuts[term + 1] - cuts[term] == len(ids) and of.sum() == len(some):
+                scores += np.multiply(by[of][:, None], posted[postings], out=products[: len(some)])
             else:
                 scores[np.ix_(rows[of], holders[postings])] += by[of][:, None] * posted[postings]
-        for query_id, line in zip(some, scores):
-            places = _best(line, np.flatnonzero(ids != query_id), k)
-            yield pd.DataFrame({"query_id": query_id, "vec_id": ids[places], "score": line[places]})
+        places = [_best(line, np.flatnonzero(ids != query_id), k) for query_id, line in zip(some, scores)]
+        of, at = np.repeat(np.arange(len(some)), list(map(len, places))), np.concatenate(places)
+        yield pd.DataFrame({"query_id": some[of], "vec_id": ids[at], "score": scores[of, at]})
 
 
 def _sparse(df: pd.DataFrame) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:

@@ -22,8 +22,9 @@ def result(df):
 
 
 def test_ties_sparse_rows_and_many_shards(spark, monkeypatch):
-    monkeypatch.setattr(topk, "SHARD", 40)
-    monkeypatch.setattr(topk, "BLOCK", 5)
+    monkeypatch.setattr(topk, "ENTRIES", 520)
+    monkeypatch.setattr(topk, "TILE", 16)
+    monkeypatch.setattr(topk, "ROWS", 3)
     rng = random.Random(1)
     rows = {i: [rng.choice([0, 0, 0, -2, 1, 3]) for _ in range(12)] for i in range(300)}
     df = spark.createDataFrame(list(rows.items()), "vec_id long, weights array<bigint>")
