@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from llm.common import given, query
 
 ENTRIES = 1 << 20  # weights of the vectors whose postings one task holds at a time, and of the queries that meet them
-TILE = 2_048  # vectors that are scored at a time, so that the score arrays stay in the processor's cache
+TILE = 4_096  # vectors that are scored at a time, so that the score arrays stay in the processor's cache
 ROWS = 64  # dense score arrays at a time
 
 
@@ -71,22 +71,28 @@ def _search(found: pd.DataFrame, asked: pd.DataFrame, k: int) -> Iterator[pd.Dat
     holders, posted = terms[0][order], weights[order]
     width = int(max(terms[1].max(initial=-1), query_terms[1].max(initial=-1))) + 1
     cuts = np.searchsorted(terms[1][order], np.arange(width + 1))
-    products = np.empty((ROWS, len(ids)), np.int64)
+    # Where no sum can reach 2^31, arrays of half the width hold the same scores.
+    highest = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    kind = np.int32 if highest(posted) * highest(query_weights) * width < 1 << 31 else np.int64
+    posted, query_weights = posted.astype(kind), query_weights.astype(kind)
+    products = np.empty((ROWS, len(ids)), kind)
     for first in range(0, len(query_ids), ROWS):
         some = query_ids[first : first + ROWS]
-        scores = np.zeros((len(some), len(ids)), np.int64)
+        scores = np.zeros((len(some), len(ids)), kind)
         mine = (query_terms[0] >= first) & (query_terms[0] < first + ROWS)
         rows, at, by = query_terms[0][mine] - first, query_terms[1][mine], query_weights[mine]
         for term in np.unique(at):
             postings = slice(cuts[term], cuts[term + 1])
             of = at == term
-            if cuts[term + 1] - cuts[term] == len(ids) and of.sum() == len(some):
-                scores += np.multiply(by[of][:, None], posted[postings], out=products[: len(some)])
+            if 2 * (cuts[term + 1] - cuts[term]) * of.sum() > scores.size:  # a common term: with its zeros, without picking cells
+                column, row = np.zeros(len(ids), kind), np.zeros(len(some), kind)
+                column[holders[postings]], row[rows[of]] = posted[postings], by[of]
+                scores += np.multiply(row[:, None], column, out=products[: len(some)])
             else:
                 scores[np.ix_(rows[of], holders[postings])] += by[of][:, None] * posted[postings]
         places = [_best(line, np.flatnonzero(ids != query_id), k) for query_id, line in zip(some, scores)]
         of, at = np.repeat(np.arange(len(some)), list(map(len, places))), np.concatenate(places)
-        yield pd.DataFrame({"query_id": some[of], "vec_id": ids[at], "score": scores[of, at]})
+        yield pd.DataFrame({"query_id": some[of], "vec_id": ids[at], "score": scores[of, at].astype(np.int64)})
 
 
 def _sparse(df: pd.DataFrame) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:

@@ -46,3 +46,13 @@ def test_bad_vectors_repeated_rows_and_clashing_columns(spark):
 def test_empty(spark):
     df = topk.vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert topk.top_k(df, df, 3).count() == 0
+
+
+def test_wide_weights(spark):
+    """Sums beyond 32 bits, next to queries whose sums stay below."""
+    rng = random.Random(2)
+    rows = {i: [rng.choice([-1, 1]) * rng.randrange(10 ** (1 if i % 2 else 7)) for _ in range(40)] for i in range(120)}
+    rows[7] = [2**31 - 1, -(2**31)] + [0] * 38
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, weights array<bigint>")
+    queries = {i: rows[i] for i in rows if i < 10}
+    assert result(topk.top_k(df, df.filter("vec_id < 10"), 6)) == brute(rows, queries, 6)
