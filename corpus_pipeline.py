@@ -42,25 +42,25 @@ def _without(docs: DataFrame, dropped: DataFrame, on: list[Column], names: list[
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects. Null and empty texts go; equal texts of a language share one decision; a null language is one of its own."""
     judged = classify(docs, trusted_ids(given(spark, sf_dir, "labels")))
     return _without(docs, judged.filter("not kept"), [F.xxhash64("text"), F.col("lang")], ["text_hash", "lang"])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, white space aside: the longest, then the smallest id (nulls last), then by file and place. Null counts as empty."""
     dropped = exact_groups(_named(docs)).filter("not kept").select("doc_id.file", "doc_id.row")
     return _without(docs, dropped, _place(), ["file", "row"])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of similar documents."""
+    """The document with the smallest id (nulls last, ties by file and place) of each component of similar documents. Texts without words, null ones too, are linked with nothing and stay."""
     dropped = near_duplicates(_named(docs)).filter("doc_id <> component_id").select("doc_id.file", "doc_id.row")
     return _without(docs, dropped, _place(), ["file", "row"])
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the passages that also stand elsewhere; ``n_chars`` follows the new text."""
+    """Every document without the passages that also stand elsewhere; ``n_chars`` follows the new text. A null text becomes an empty one, repeated rows lose theirs, ids play no part."""
     rest = [c for c in docs.columns if c != "text"]
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("doc_id"), "text")
     cut = remove_repeats(carried, as_text=True)
@@ -71,7 +71,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of a power of two of ids."""
+    """Training sequences of a power of two of ids; a null or empty text is the end id alone, and repeated rows give their sequences again."""
     return decompose(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
