@@ -81,10 +81,16 @@ def running_totals_by_date(spark, sf_dir):
     from orders
 """)
 def running_totals_sparse(spark, sf_dir):
-    """Order values far apart: hardly two of them lie in one block of the lowest level."""
-    rows = given(spark, sf_dir, "orders").select(
-        "o_custkey", (F.col("o_orderkey") * F.col("o_orderkey") * 1000003).alias("place"), F.floor("o_totalprice").alias("price")
-    )
+    """Order values far apart: hardly two of them lie in one block of the lowest level.
+
+    A long as in the SQL where all of them fit, else a decimal of 38 digits, which DuckDB's bigint has no room for.
+    """
+    rows = given(spark, sf_dir, "orders")
+    ends = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    fits = all(end is None or end * end * 1000003 < 1 << 63 for end in ends)
+    key = F.col("o_orderkey") if fits else F.col("o_orderkey").cast("decimal(19,0)")
+    place = (key * key * 1000003).cast("long" if fits else "decimal(38,0)")
+    rows = rows.select("o_custkey", place.alias("place"), F.floor("o_totalprice").alias("price"))
     return running_total(rows, ["o_custkey"], "place", "price", "running_total")
 
 
