@@ -107,6 +107,31 @@ def test_keep_one_does_not_depend_on_partitions(spark):
     assert sorted(rows(keep_one(df, ["k"], [F.desc("a")])))[0][1] == 10
 
 
+def test_keep_one_of_many_rows_sorts_only_hot_keys_before_the_shuffle(spark, monkeypatch):
+    for name, value in (("_SMALL", 1000), ("_HEAVY", 500), ("_PER_TASK", 400)):
+        monkeypatch.setattr(f"pavilion.operators.dedup.{name}", value)
+    draw = random.Random(3)
+    ks = [0.0, -0.0, float("nan"), None, *[float(i) for i in range(1, 900)]]
+    data = [(draw.choice(ks), draw.choice(["x", None]), draw.randrange(50), draw.choice([None, "p", "q"])) for _ in range(8000)]
+    hot = [(7.0, "hot", 3 + i % 40, "r") for i in range(3000)]
+
+    def want(some):
+        key = lambda r: ("nan" if r[0] is not None and r[0] != r[0] else r[0], r[1])
+        best = {}
+        for r in sorted(some, key=lambda r: (-r[2], r[3] is not None, r[3] or "")):
+            best.setdefault(key(r), (*key(r), *r[2:]))
+        return sorted(best.values(), key=repr)
+
+    for some, cuts in ((data, 0), (data + hot, 1)):
+        df = spark.createDataFrame(some, "k double, s string, a int, b string").repartition(6)
+        kept = keep_one(df, ["k", "s"], [F.desc("a")])
+        text = kept._jdf.queryExecution().executedPlan().toString()
+        assert text.count("row_number(), 1, Partial") == cuts and "Exchange hashpartitioning(k" in text
+        got = [("nan" if r[0] is not None and r[0] != r[0] else r[0], *r[1:]) for r in rows(kept)]
+        norm = lambda some: sorted(((r[0] + 0.0 if isinstance(r[0], float) else r[0], *r[1:]) for r in some), key=repr)
+        assert norm(got) == norm(want(some))
+
+
 def test_keep_one_treats_null_keys_as_equal(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), (1, None)], "k int, v int")
     assert sorted(rows(keep_one(df, ["k"])), key=repr) == [(1, None), (None, 1)]
