@@ -51,6 +51,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tasks_for(df: DataFrame, rows: int = 65_536) -> int:
+    """How many tasks the rows of a checkpointed table are enough for: one for each core, or one for every ``rows`` if that is more.
+
+    Coalesced to that, a small table and what is computed from it do not leave a few rows in each of many shuffle
+    partitions, whose files take a block of disk each however short they are.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+
+
 def store(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """Cut the lineage by a Parquet table in the shared folder, of which later reads take only the columns they need; also what removes it."""
     spark = df.sparkSession

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from llm.common import checkpoint, codepoints, given, query, slices
+from llm.common import checkpoint, codepoints, given, query, slices, tasks_for
 from llm.ngrams import Sorted, Tally, count, hashes, rolling
 
 ORDER = 5  # characters
@@ -60,10 +60,12 @@ def gram_probabilities(grams: DataFrame) -> DataFrame:
     to a uniform one. Counts, contexts and lower orders stay in tables that are dealt by hash of
     the n-gram and joined; only the counts of counts and the totals of order 1 reach the driver.
     """
+    tasks = tasks_for(grams)
+    grams = grams.coalesce(tasks)
     types = grams.filter(F.col("trained") > 0).select("gram", F.col("trained").alias("c"))
     every = types
     for _ in range(ORDER - 1):
-        types = types.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("c"))
+        types = types.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("c")).coalesce(tasks)
         every = every.unionByName(types)
     every = checkpoint(every.withColumn("k", F.char_length("gram")))
     few = {(r["k"], r["c"]): r["count"] for r in every.filter(F.col("c") <= 4).groupBy("k", "c").count().collect()}
@@ -76,7 +78,7 @@ def gram_probabilities(grams: DataFrame) -> DataFrame:
 
     wanted = {ORDER: grams.select("gram")}
     for k in range(ORDER - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram")).distinct()
+        wanted[k] = wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram")).distinct().coalesce(tasks)
     first = every.filter("k = 1").withColumn("d", discount(1)).agg(F.sum("c"), F.sum("d"), F.count(F.lit(1))).first()
     total, taken, kinds = first[0] or 1, first[1] or 1.0, first[2]
     below = None
@@ -92,8 +94,8 @@ def gram_probabilities(grams: DataFrame) -> DataFrame:
         rows = rows.withColumn("head", head).withColumn("tail", F.expr("substring(gram, 2)")).join(contexts, "head", "left")
         rows = rows.join(below.select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
         p = F.coalesce(own / F.col("total"), F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("lower")
-        below = rows.select("gram", p.alias("p"))
-    return below.join(grams.select("gram", "n"), "gram").select("gram", "n", F.log("p").alias("logp"))
+        below = rows.select("gram", p.alias("p")).coalesce(tasks)
+    return below.join(grams.select("gram", "n"), "gram").select("gram", "n", F.log("p").alias("logp")).coalesce(tasks)
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
