@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import checkpoint, codepoints, given, query, slices
+from llm.common import checkpoint, codepoints, given, query, slices, tasks_for
 from llm.ngrams import Sorted, Tally, count, hashes, rolling
 
 ORDER = 4
@@ -113,11 +113,12 @@ def tables(counted: DataFrame) -> Learned:
     languages = sorted(row["lang"] for row in counted.select("lang").distinct().collect())
     if not languages:
         return Learned([])
+    tasks = tasks_for(counted)
     numbers = counted.sparkSession.createDataFrame(list(enumerate(languages)), "of int, lang string")
-    types = counted.join(F.broadcast(numbers), "lang").select("of", "gram", F.col("n").alias("c"))
+    types = counted.coalesce(tasks).join(F.broadcast(numbers), "lang").select("of", "gram", F.col("n").alias("c"))
     every = types
     for _ in range(ORDER - 1):
-        types = types.groupBy("of", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("c"))
+        types = types.groupBy("of", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("c")).coalesce(tasks)
         every = every.unionByName(types)
     every = checkpoint(every.withColumn("k", F.char_length("gram")))
     ones, twos = F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
@@ -125,10 +126,10 @@ def tables(counted: DataFrame) -> Learned:
     rows = every.join(F.broadcast(discounts), ["of", "k"]).select(
         "of", "gram", F.expr("substring(gram, 1, k - 1)").alias("head"), "c", F.least(F.col("c").cast("double"), "discount").alias("taken")
     )
-    contexts = checkpoint(rows.groupBy("head", "of").agg(F.sum("c").alias("total"), (F.sum("taken") / F.sum("c")).alias("v")))
+    contexts = checkpoint(rows.groupBy("head", "of").agg(F.sum("c").alias("total"), (F.sum("taken") / F.sum("c")).alias("v")).coalesce(tasks))
     shares = rows.join(contexts.select("head", "of", "total"), ["head", "of"]).withColumn("v", (F.col("c") - F.col("taken")) / F.col("total"))
-    grams = checkpoint(shares.groupBy("gram").agg(F.collect_list(F.struct("of", "v")).alias("own")))
-    backs = checkpoint(contexts.groupBy("head").agg(F.collect_list(F.struct("of", "v")).alias("back")))
+    grams = checkpoint(shares.groupBy("gram").agg(F.collect_list(F.struct("of", "v")).alias("own")).coalesce(tasks))
+    backs = checkpoint(contexts.groupBy("head").agg(F.collect_list(F.struct("of", "v")).alias("back")).coalesce(tasks))
     return Learned(languages, grams, backs, grams.filter(F.char_length("gram") == 1).count())
 
 
@@ -181,11 +182,13 @@ def gram_probabilities(model: Learned, grams: DataFrame) -> DataFrame:
             yield pa.record_batch({"gram": batch.column("gram"), "p": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * width, p.ravel())})
 
     real = F.ltrim("gram", F.lit(PAD))
+    tasks = tasks_for(grams)
+    grams = grams.coalesce(tasks)
     opened = grams.select(real.alias("gram"))
     wanted = {ORDER: opened.filter(F.char_length("gram") == ORDER)}
     for k in range(ORDER - 1, 0, -1):
         tails = wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram"))
-        wanted[k] = tails.union(opened.filter(F.char_length("gram") == k)).distinct()
+        wanted[k] = tails.union(opened.filter(F.char_length("gram") == k)).distinct().coalesce(tasks)
     below = every = None
     for k in range(1, ORDER + 1):
         rows = wanted[k].join(model.grams, "gram", "left").withColumn("head", F.expr(f"substring(gram, 1, {k - 1})")).join(model.contexts, "head", "left")
@@ -193,12 +196,12 @@ def gram_probabilities(model: Learned, grams: DataFrame) -> DataFrame:
             rows = rows.withColumn("lower", F.lit(None).cast("array<double>"))
         else:
             rows = rows.withColumn("tail", F.expr("substring(gram, 2)")).join(below.select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
-        below = rows.select("gram", "own", "back", "lower").mapInArrow(run, "gram string, p array<double>")
+        below = rows.select("gram", "own", "back", "lower").mapInArrow(run, "gram string, p array<double>").coalesce(tasks)
         if k < ORDER:
             below = checkpoint(below)
         every = below if every is None else every.unionByName(below)
     named = grams.select(F.col("gram").alias("padded"), "n", real.alias("gram"))
-    return named.join(every, "gram").select(F.col("padded").alias("gram"), "n", F.transform("p", lambda x: F.log(x)).alias("logs"))
+    return named.join(every, "gram").select(F.col("padded").alias("gram"), "n", F.transform("p", lambda x: F.log(x)).alias("logs")).coalesce(tasks)
 
 
 def _entropies(docs: DataFrame, model: Learned, keep: list[str]) -> DataFrame:

@@ -233,3 +233,23 @@ def test_language_learns_every_gram_of_every_language(spark, monkeypatch):
     assert known.languages == wanted.languages
     found = {r["doc_id"]: r["lang_pred"] for r in language.identify(scored, known).collect()}
     assert [found[i] for i in range(4)] == ["zh", "zh", rows[-30][0], rows[50][0]]
+
+
+def test_few_ngrams_are_not_dealt_over_many_tasks(spark):
+    """A few rows in each of many shuffle partitions fill the disk with short files."""
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        texts = [(f"some words {i * i}", "aa" if i % 2 else "bb") for i in range(40)]
+        docs = spark.createDataFrame(texts, "text string, lang string")
+        grams = language.checkpoint(quality.corpus_grams(docs.withColumn("train", F.lit(True))))
+        assert quality.gram_probabilities(grams).rdd.getNumPartitions() <= cores
+        model = language.tables(language.checkpoint(language.gram_counts(docs)))
+        tables = [model.grams, model.contexts, language.gram_probabilities(model, language.checkpoint(language.corpus_grams(docs)))]
+        assert max(t.rdd.getNumPartitions() for t in tables) <= cores
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
